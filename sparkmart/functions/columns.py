@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkmart.schema import DATE_ID_PATTERN
+from sparkmart.schema import DATE_ID_PATTERN, WHOLE_NUMBER
 
 
 def model_category(model_id: str = "Model_ID") -> Column:
@@ -19,8 +19,15 @@ def revenue_per_unit(revenue: str = "Revenue", units: str = "Units_Sold") -> Col
 
 
 def typed(column: str, data_type: str) -> Column:
-    """Strict conversion of a text column: NULL where the text is no such value."""
-    return F.col(column) if data_type == "string" else F.col(column).try_cast(data_type)
+    """Strict conversion of a text column: NULL where the text is no such value.
+
+    Whole numbers only, with optional sign and surrounding blanks. The pattern comes
+    first because a failing ``try_cast`` costs an exception per value; only numbers out
+    of range still pay it.
+    """
+    if data_type == "string":
+        return F.col(column)
+    return F.when(F.col(column).rlike(WHOLE_NUMBER), F.col(column).try_cast(data_type))
 
 
 def blank_to_null(column: str) -> Column:

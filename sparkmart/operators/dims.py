@@ -53,8 +53,13 @@ def known_members(found: DataFrame, dim: DataFrame, spec: DimSpec) -> DataFrame:
 
 
 def new_members(found: DataFrame, dim: DataFrame, spec: DimSpec) -> DataFrame:
-    """Members without a key; an anti join, as Catalyst keeps an outer join + IS NULL."""
-    return found.join(dim.select(spec.nk), spec.nk, "left_anti").select(*spec.member_columns)
+    """Members without a key; an anti join, as Catalyst keeps an outer join + IS NULL.
+
+    The dimension is first cut down to the members at hand. Few members are broadcast
+    for that, so a large dimension is not shuffled for a small increment.
+    """
+    present = dim.select(spec.nk).join(found.select(spec.nk), spec.nk, "left_semi")
+    return found.join(present, spec.nk, "left_anti").select(*spec.member_columns)
 
 
 def keyed_members(found: DataFrame, dim: DataFrame, spec: DimSpec) -> DataFrame:

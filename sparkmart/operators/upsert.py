@@ -33,17 +33,21 @@ def upsert(
     A matched value is replaced even by NULL. Without ``null_safe`` a NULL in a key
     matches nothing, so that source row is added.
 
-    Written as a left join plus an anti join, not as one full outer join: both can
-    broadcast a small source (the target is then not shuffled at all), and adaptive
-    execution can split a hot key on their left side, which it cannot do for a full
-    outer join.
+    Written as two left joins, not as one full outer join. A source below the
+    broadcast threshold is broadcast to the target both times (all its values for the
+    update, its keys for finding the rows already present), so a large target is never
+    shuffled. Above it, adaptive execution can still split a hot key, which it cannot
+    do in a full outer join. Pass a stored or staged source, as it is read three times.
     """
     columns = target.columns
     incoming = _prefixed(source, columns).withColumn("_hit", F.lit(True))
     kept = target.join(incoming, _match(target, incoming, keys, null_safe), "left").select(
         [F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(target[c]).alias(c) for c in columns]
     )
-    present = _prefixed(target, keys)
+    wanted = _prefixed(source, keys)
+    stored = target.select(*keys)
+    present = stored.join(wanted, _match(stored, wanted, keys, null_safe), "left_semi")
+    present = _prefixed(present, keys)
     added = source.select(columns)
     added = added.join(present, _match(added, present, keys, null_safe), "left_anti")
     return kept.unionByName(added)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ from sparkmart.schema import (
     DimSpec,
 )
 from sparkmart.sources.files import read_raw_sales, with_file_name
-from sparkmart.sources.staging import stage
+from sparkmart.sources.staging import stage, staging_area
 from sparkmart.sources.store import Store
 
 SOURCE_TABLE = "source_sales"
@@ -39,7 +40,10 @@ GRAIN = FACT.add("Year", SILVER["Year"].dataType)
 def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:
     """Runs independent Spark jobs at the same time, as none of them fills a cluster."""
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        futures = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(task))
+            for task in tasks
+        ]
         return [f.result() for f in futures]
 
 
@@ -87,7 +91,11 @@ def extract_increment(store: Store, source: DataFrame) -> str | None:
     hi = current.first()["max_date"]
     if hi is None or hi <= lo:
         return None
-    store.write_load(extract.window(source.select(*BRONZE_COLUMNS), lo, hi), "bronze", lo)
+    rows = extract.window(source.select(*BRONZE_COLUMNS), lo, hi)
+    if lo:
+        # A thin slice of a large source: gather it, or every scan task writes a tiny file.
+        rows = rows.hint("rebalance")
+    store.write_load(rows, "bronze", lo)
     store.write_state(_state_row(store.spark, hi), "bronze")
     return hi
 
@@ -111,23 +119,24 @@ def _write_fact_rows(store: Store, rows: DataFrame, lo: str, anew: bool) -> None
         store.write_load(rows, "fact_sales", lo)
 
 
-def _write_fact_grain(
-    store: Store, rows: DataFrame, increment: DataFrame, anew: bool
-) -> None:
+def _write_fact_grain(store: Store, rows: DataFrame, increment: DataFrame, anew: bool) -> None:
     """Upsert on the 4-part key; only years the increment touches are read and rewritten."""
     days = increment.select("Date_ID", "Year", F.lit(1).alias("Month"), F.lit(1).alias("Day"))
     split = checks.dq_date_id(days).first()
     if split is not None:
         raise ValueError(f"Date_ID {split['Date_ID']} lies in several years")
     # With the check above a key has one year, so the source is unique per key.
+    # Rebalancing gathers a year's rows into few files and still splits a large year.
     grain = fact.to_grain(rows, [*FACT_KEYS, "Year"]).select(*GRAIN.names)
     if anew:
-        grain.write.mode("overwrite").partitionBy("Year").parquet(store.path("fact_grain"))
+        spread = grain.hint("rebalance", "Year")
+        spread.write.mode("overwrite").partitionBy("Year").parquet(store.path("fact_grain"))
         return
     grain = stage(grain)  # used on both sides of the upsert
     years = [r["Year"] for r in increment.select("Year").distinct().collect()]  # a few numbers
     touched = store.read_partitions("fact_grain", GRAIN).filter(F.col("Year").isin(years))
-    store.write_partitions(fact.upsert_fact(touched, grain), "fact_grain", ["Year"])
+    merged = fact.upsert_fact(touched, grain).hint("rebalance", "Year")
+    store.write_partitions(merged, "fact_grain", ["Year"])
 
 
 def transform(store: Store, mode: str = "incremental", fact_mode: str = "rows") -> bool:
@@ -144,7 +153,15 @@ def transform(store: Store, mode: str = "incremental", fact_mode: str = "rows")
     hi = extract.last_load(store.read_state("bronze"))
     if hi <= lo:
         return False
+    with staging_area(store.spark):
+        _transform_window(store, lo, anew, fact_mode)
+    store.write_state(_state_row(store.spark, hi), "gold")
+    for spec in DIMS:
+        store.drop_old_versions(spec.name)
+    return True
+
 
+def _transform_window(store: Store, lo: str, anew: bool, fact_mode: str) -> None:
     bronze = store.read_loads("bronze", BRONZE, since=lo)
     cleaned = silver.enrich(silver.standardise(bronze)).select(*SILVER_COLUMNS)
     if anew:
@@ -164,8 +181,6 @@ def transform(store: Store, mode: str = "incremental", fact_mode: str = "rows")
         _write_fact_grain(store, rows, increment, anew)
     else:
         _write_fact_rows(store, fact.build_fact(increment, dims), lo, anew)
-    store.write_state(_state_row(store.spark, hi), "gold")
-    return True
 
 
 # reading the result ----------------------------------------------------------------

@@ -179,11 +179,11 @@ def conform_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform.conform(dirty_raw_feed(spark, sf_dir))
+    return conform.conform(stage(dirty_raw_feed(spark, sf_dir)))
 
 
 def conform_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform.rejects(dirty_raw_feed(spark, sf_dir))
+    return conform.rejects(stage(dirty_raw_feed(spark, sf_dir)))
 
 
 def _write_csv(df: DataFrame, path: str) -> None:

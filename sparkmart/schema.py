@@ -38,6 +38,7 @@ MAPPING = (
 )
 
 DATE_ID_PATTERN = "^DT[0-9]{5}$"
+WHOLE_NUMBER = "^ *[+-]?[0-9]+ *$"
 
 MEASURES = ("Revenue", "Units_Sold")
 NATURAL_KEYS = ("Branch_ID", "Dealer_ID", "Model_ID", "Date_ID")

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +28,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_area: ContextVar[str | None] = ContextVar("staging_area", default=None)
+
+
 def new_folder(spark: SparkSession) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/sparkmart/{uuid.uuid4().hex}"
+    base = _area.get() or f"{checkpoint_dir(spark).rstrip('/')}/sparkmart"
+    return f"{base}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted when it ends; write results before."""
+    folder = new_folder(spark)
+    token = _area.set(folder)
+    try:
+        yield
+    finally:
+        _area.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -118,6 +118,12 @@ class Store:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop_old_versions(self, table: str, keep: int = 2) -> None:
+        """Deletes versions nobody reads any more; the newest ``keep`` stay."""
+        for version in self._versions(table)[:-keep]:
+            path = self._version_path(table, version)
+            self._fs(path).delete(self._hadoop_path(path), True)
+
     # state -------------------------------------------------------------------
 
     def read_state(self, name: str) -> DataFrame:
