@@ -33,11 +33,13 @@ def upsert(
     A matched value is replaced even by NULL. Without ``null_safe`` a NULL in a key
     matches nothing, so that source row is added.
 
-    Written as two left joins, not as one full outer join. A source below the
-    broadcast threshold is broadcast to the target both times (all its values for the
-    update, its keys for finding the rows already present), so a large target is never
-    shuffled. Above it, adaptive execution can still split a hot key, which it cannot
-    do in a full outer join. Pass a stored or staged source, as it is read three times.
+    Written as a left join plus an anti join, not as one full outer join. A source
+    below the broadcast threshold is broadcast to the target (its values for the
+    update, its keys for finding the rows already present, where Catalyst moves the
+    semi join below the distinct), so a large target is not shuffled. Above it,
+    adaptive execution splits a hot target key in the left join, which it cannot do in
+    a full outer join, and the distinct collapses it before the shuffle in the other.
+    Pass a stored or staged source, as it is read three times.
     """
     columns = target.columns
     incoming = _prefixed(source, columns).withColumn("_hit", F.lit(True))
@@ -45,7 +47,7 @@ def upsert(
         [F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(target[c]).alias(c) for c in columns]
     )
     wanted = _prefixed(source, keys)
-    stored = target.select(*keys)
+    stored = target.select(*keys).distinct()
     present = stored.join(wanted, _match(stored, wanted, keys, null_safe), "left_semi")
     present = _prefixed(present, keys)
     added = source.select(columns)
@@ -58,12 +60,13 @@ def conflicts(
 ) -> DataFrame:
     """Keys of target rows that more than one source row would update, with the count.
 
-    Source rows are counted before anything is joined, so a hot key is one row then.
+    Both sides are reduced to one row per key before they meet, so a hot key is one
+    row in the join.
     """
     rows = source if null_safe else source.dropna(subset=list(keys))
     repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_source"))
     repeated = repeated.filter(F.col("n_source") > 1)
-    present = _prefixed(target, keys)
+    present = _prefixed(target, keys).distinct()
     return repeated.join(present, _match(repeated, present, keys, null_safe), "left_semi")
 
 

@@ -13,6 +13,7 @@ from contextvars import copy_context
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sparkmart.operators import checks, conform, extract, fact, silver
 from sparkmart.operators.dims import empty_dim, load_dim
@@ -34,7 +35,7 @@ from sparkmart.sources.staging import stage, staging_area
 from sparkmart.sources.store import Store
 
 SOURCE_TABLE = "source_sales"
-GRAIN = FACT.add("Year", SILVER["Year"].dataType)
+GRAIN = StructType([*FACT.fields, SILVER["Year"]])
 
 
 def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:

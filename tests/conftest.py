@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         "tests",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="3",
+        spark__default__parallelism="2",
         spark__driver__memory="4g",
     )
