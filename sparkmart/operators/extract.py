@@ -11,6 +11,14 @@ def current_max(source: DataFrame) -> DataFrame:
     return source.agg(F.max("Date_ID").alias("max_date"))
 
 
+def current_max_above(source: DataFrame, lo: str) -> DataFrame:
+    """The same above a bound, NULL when nothing is newer.
+
+    The bound lets the scan skip all row groups that earlier extracts have covered.
+    """
+    return current_max(source.filter(F.col("Date_ID") > F.lit(lo)))
+
+
 def window(source: DataFrame, lo: str | Column, hi: str | Column | None) -> DataFrame:
     """Rows with ``lo < Date_ID <= hi``. Literal bounds reach the Parquet scan.
 

@@ -13,7 +13,7 @@ from contextvars import copy_context
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sparkmart.operators import checks, conform, extract, fact, silver
 from sparkmart.operators.dims import empty_dim, load_dim
@@ -77,6 +77,15 @@ def rejected_rows(store: Store) -> DataFrame:
     return landed.filter(F.col("reject_reason").isNotNull()).select("received.*", "reject_reason")
 
 
+def late_rows(store: Store, *file_names: str) -> DataFrame:
+    """Count of rows in these landed files that lie at or below the bound reached so far."""
+    schema = StructType([*LANDED.fields, StructField("source_file", StringType())])
+    landed = store.read_partitions(SOURCE_TABLE, schema)
+    landed = landed.filter(F.col("source_file").isin(*file_names))
+    landed = landed.filter(F.col("reject_reason").isNull())
+    return extract.late_rows(landed, extract.last_load(store.read_state("bronze")))
+
+
 # bronze --------------------------------------------------------------------------
 
 
@@ -86,11 +95,9 @@ def extract_increment(store: Store, source: DataFrame) -> str | None:
     The upper bound is fixed before the copy. If the state is not reached, the next
     run writes the same folder again.
     """
-    state = store.read_state("bronze")
-    lo = extract.last_load(state)
-    current = extract.current_max(source)
-    hi = current.first()["max_date"]
-    if hi is None or hi <= lo:
+    lo = extract.last_load(store.read_state("bronze"))
+    hi = extract.current_max_above(source, lo).first()["max_date"]
+    if hi is None:
         return None
     rows = extract.window(source.select(*BRONZE_COLUMNS), lo, hi)
     if lo:

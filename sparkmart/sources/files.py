@@ -14,12 +14,13 @@ from sparkmart.schema import RAW
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": "\\", "enforceSchema": "false"}
 
 
-def read_raw_sales(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_sales(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Delimited sales file(s), all twelve columns as text.
 
     With ``enforceSchema`` off a file whose header differs is an error, not shifted data.
+    ``multi_line`` allows line breaks inside quotes, but then a file is one task.
     """
-    return spark.read.options(**CSV_OPTIONS).schema(RAW).csv(path)
+    return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(RAW).csv(path)
 
 
 def with_file_name(raw: DataFrame) -> DataFrame:

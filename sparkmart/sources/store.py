@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from sparkmart.schema import WATERMARK
 from sparkmart.sources.files import empty_table
@@ -63,14 +63,14 @@ class Store:
         ).parquet(self.path(table))
 
     def read_loads(self, table: str, schema: StructType, since: str | None = None) -> DataFrame:
-        """All loads, or those that start at ``since`` or later (other folders are pruned)."""
-        if not self.exists(self.path(table)):
-            return empty_table(self.spark, schema)
-        with_load = StructType([*schema.fields, StructField("load", StringType())])
-        df = self.spark.read.schema(with_load).parquet(self.path(table))
+        """All loads, or those that start at ``since`` or later (only those are listed)."""
+        loads = [n[5:] for n in self._children(self.path(table)) if n.startswith("load=")]
         if since is not None:
-            df = df.filter(F.col("load") >= load_id(since))
-        return df.select(*schema.names)
+            loads = [n for n in loads if n >= load_id(since)]
+        if not loads:
+            return empty_table(self.spark, schema)
+        folders = [f"{self.path(table)}/load={n}" for n in sorted(loads)]
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def write_partitions(self, df: DataFrame, table: str, columns: Sequence[str]) -> None:
         """Replaces the partitions present in ``df`` and keeps all others.

@@ -18,3 +18,15 @@ def spark(tmp_path_factory):
         spark__default__parallelism="2",
         spark__driver__memory="4g",
     )
+
+
+@pytest.fixture
+def interpreted(spark):
+    """Tiny tables spend most of their time compiling; run those tests without codegen."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    saved = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in saved.items():
+        spark.conf.set(k, v)

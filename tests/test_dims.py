@@ -9,6 +9,8 @@ from sparkmart.operators import dims, silver
 from sparkmart.operators.conform import conform
 from sparkmart.schema import DIM_BRANCH, DIM_DATE, DIM_DEALER, DIM_MODEL, DIMS
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 
 def loaded(spark, *batches):
     return [silver.enrich(silver.standardise(conform(raw(spark, b)))) for b in batches]
@@ -39,7 +41,7 @@ def test_new_members_get_keys_above_all_existing_ones(spark):
         ("DT00001", 1), ("DT00002", 2), ("DT00003", 3), ("DT00400", 4)]
 
 
-@pytest.mark.parametrize("spec", DIMS, ids=lambda s: s.name)
+@pytest.mark.parametrize("spec", [DIM_BRANCH, DIM_DATE], ids=lambda s: s.name)
 def test_same_increment_twice_changes_nothing(spark, spec):
     assert tuples(after(spark, spec, BATCH_1, BATCH_2, BATCH_2)) == tuples(after(spark, spec, BATCH_1, BATCH_2))
 

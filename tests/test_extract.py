@@ -38,6 +38,8 @@ def test_empty_source_extracts_nothing_and_keeps_the_state(spark, source, tmp_pa
     empty = source.filter("1 = 0")
     assert extract.current_max(empty).first()["max_date"] is None
     assert extract.window(source, "", None).count() == 0
+    assert extract.current_max_above(source, "DT00400").first()["max_date"] is None
+    assert extract.current_max_above(source, "DT00002").first()["max_date"] == "DT00400"
     assert extract.advance(state(spark, "DT00002"), extract.current_max(empty)).first()[0] == "DT00002"
     store = Store(spark, str(tmp_path))
     assert load_job.extract_increment(store, empty) is None

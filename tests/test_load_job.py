@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,9 +7,11 @@ from batches import BATCH_1, BATCH_2, tuples, write_csv
 from sparkmart.operators import extract
 from sparkmart.plans import load_job
 from sparkmart.plans.main import main
-from sparkmart.schema import DIMS, FACT_COLUMNS, SILVER
+from sparkmart.schema import BRONZE, DIMS, FACT_COLUMNS, SILVER
 from sparkmart.sources.store import Store
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 FACT_AFTER_1 = [(50, 0, 2, 1, 1, 2), (70, 1, 1, 1, 1, 1), (100, 2, 1, 1, 1, 1), (300, 3, 1, 2, 2, 2)]
 FACT_AFTER_2 = sorted([*FACT_AFTER_1, (90, 3, 2, 3, 2, 3), (40, 4, 3, 1, 3, 4)])
 
@@ -49,6 +53,14 @@ def test_initial_and_incremental_run(spark, tmp_path, files):
     assert totals[0][1:] == totals[1][1:]
 
 
+def test_late_rows_of_a_new_file_are_counted_not_extracted(spark, tmp_path, files):
+    store = load_job.run(spark, str(tmp_path / "store"), [files[0]])
+    load_job.land(store, files[1])
+    assert load_job.late_rows(store, "second.csv").first()["late_rows"] == 1
+    load_job.extract_increment(store, load_job.source_table(store))
+    assert store.read_loads("bronze", BRONZE).count() == 6
+
+
 def test_initial_mode_rebuilds_the_same_facts_from_bronze(spark, tmp_path, files):
     root = str(tmp_path / "store")
     load_job.run(spark, root, [files[0]])
@@ -62,12 +74,25 @@ def test_initial_mode_rebuilds_the_same_facts_from_bronze(spark, tmp_path, files
     assert after["dim_branch"] == [("BR0000", "West", 1), ("BR0001", "North", 2), ("BR0002", "South-East", 3)]
 
 
-@pytest.mark.parametrize("fact_mode", ["rows", "grain"])
-@pytest.mark.parametrize("step", ["_load_dimension", "fact", "write_state"])
-def test_run_after_a_crash_ends_like_an_undisturbed_one(spark, tmp_path, files, monkeypatch, step, fact_mode):
-    calm = load_job.run(spark, str(tmp_path / "calm"), [files[0]], fact_mode=fact_mode)
-    load_job.run(spark, calm.root, [files[1]], fact_mode=fact_mode)
-
+@pytest.fixture(scope="module")
+def calm(spark, tmp_path_factory):
+    """Both increments in both fact modes, without a disturbance."""
+    folder = tmp_path_factory.mktemp("calm")
+    batches = [write_csv(folder / "first.csv", BATCH_1), write_csv(folder / "second.csv", BATCH_2)]
+    return {
+        mode: [load_job.run(spark, str(folder / mode), [f], fact_mode=mode) for f in batches][-1]
+        for mode in ("rows", "grain")
+    }
+
+
+@pytest.mark.parametrize(
+    "step, fact_mode",
+    [("_load_dimension", "rows"), ("_write_fact_rows", "rows"), ("_write_fact_grain", "grain"),
+     ("write_state", "rows"), ("write_state", "grain")],
+)
+def test_run_after_a_crash_ends_like_an_undisturbed_one(
+    spark, tmp_path, files, calm, monkeypatch, step, fact_mode
+):
     root = str(tmp_path / "store")
     store = load_job.run(spark, root, [files[0]], fact_mode=fact_mode)
     load_job.land(store, files[1])
@@ -77,17 +102,16 @@ def test_run_after_a_crash_ends_like_an_undisturbed_one(spark, tmp_path, files,
         raise RuntimeError("executor lost")
 
     with monkeypatch.context() as patch:
-        if step == "write_state":
-            patch.setattr(Store, "write_state", crash)
-        else:
-            patch.setattr(load_job, {"fact": f"_write_fact_{fact_mode}"}.get(step, step), crash)
+        patch.setattr(Store if step == "write_state" else load_job, step, crash)
         with pytest.raises(RuntimeError):
             load_job.transform(store, fact_mode=fact_mode)
     assert load_job.transform(store, fact_mode=fact_mode)
+    undisturbed = calm[fact_mode]
     for spec in DIMS:
-        assert tuples(store.read_version(spec.name, spec.schema)) == tuples(calm.read_version(spec.name, spec.schema))
+        both = [tuples(s.read_version(spec.name, spec.schema)) for s in (store, undisturbed)]
+        assert both[0] == both[1]
     table = "fact_sales" if fact_mode == "rows" else "fact_grain"
-    same = [tuples(spark.read.parquet(s.path(table)), *FACT_COLUMNS) for s in (store, calm)]
+    same = [tuples(spark.read.parquet(s.path(table)), *FACT_COLUMNS) for s in (store, undisturbed)]
     assert same[0] == same[1] and len(same[0]) == (6 if fact_mode == "rows" else 5)
 
 
@@ -114,10 +138,10 @@ def test_grain_mode_refuses_a_date_code_in_two_years(spark, tmp_path):
 
 
 def test_staged_tables_are_gone_after_a_run(spark, tmp_path, files):
-    saved = spark.conf.get("spark.checkpoint.dir")
-    before = set(__import__("os").listdir(f"{saved}/sparkmart")) if __import__("os").path.exists(f"{saved}/sparkmart") else set()
+    staged = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "sparkmart"
+    before = set(staged.glob("*"))
     load_job.run(spark, str(tmp_path / "store"), [files[0]])
-    assert set(__import__("os").listdir(f"{saved}/sparkmart")) <= before
+    assert set(staged.glob("*")) == before
 
 
 def test_unfinished_versions_are_ignored(spark, tmp_path, files):
