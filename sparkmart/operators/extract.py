@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +45,10 @@ def advance(state: DataFrame, current: DataFrame) -> DataFrame:
     return newest.agg(F.max("last_load").alias("last_load"))
 
 
-def late_rows(landed: DataFrame, lo: str) -> DataFrame:
-    """Count of newly landed rows that the strict lower bound will never extract."""
+def late_rows(landed: DataFrame, lo: str, by: Sequence[str] = ()) -> DataFrame:
+    """Count of newly landed rows that the strict lower bound will never extract.
+
+    ``by`` counts per group, e.g. per landed file.
+    """
     late = F.col("Date_ID").isNotNull() & (F.col("Date_ID") <= F.lit(lo))
-    return landed.agg(F.count_if(late).alias("late_rows"))
+    return landed.groupBy(*by).agg(F.count_if(late).alias("late_rows"))

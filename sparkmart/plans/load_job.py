@@ -35,7 +35,8 @@ from sparkmart.sources.staging import stage, staging_area
 from sparkmart.sources.store import Store
 
 SOURCE_TABLE = "source_sales"
-GRAIN = StructType([*FACT.fields, SILVER["Year"]])
+MONTH = ["Year", "Month"]
+GRAIN = StructType([*FACT.fields, *[SILVER[c] for c in MONTH]])
 
 
 def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:
@@ -128,23 +129,24 @@ def _write_fact_rows(store: Store, rows: DataFrame, lo: str, anew: bool) -> None
 
 
 def _write_fact_grain(store: Store, rows: DataFrame, increment: DataFrame, anew: bool) -> None:
-    """Upsert on the 4-part key; only years the increment touches are read and rewritten."""
-    days = increment.select("Date_ID", "Year", F.lit(1).alias("Month"), F.lit(1).alias("Day"))
-    split = checks.dq_date_id(days).first()
+    """Upsert on the 4-part key; only months the increment touches are read and rewritten."""
+    split = checks.dq_date_id(increment.select("Date_ID", *MONTH, F.lit(1).alias("Day"))).first()
     if split is not None:
-        raise ValueError(f"Date_ID {split['Date_ID']} lies in several years")
-    # With the check above a key has one year, so the source is unique per key.
-    # Rebalancing gathers a year's rows into few files and still splits a large year.
-    grain = fact.to_grain(rows, [*FACT_KEYS, "Year"]).select(*GRAIN.names)
+        raise ValueError(f"Date_ID {split['Date_ID']} lies in several months")
+    # With the check above a key has one month, so the source is unique per key.
+    # Rebalancing gathers a month's rows into few files and still splits a large month.
+    grain = fact.to_grain(rows, [*FACT_KEYS, *MONTH]).select(*GRAIN.names)
     if anew:
-        spread = grain.hint("rebalance", "Year")
-        spread.write.mode("overwrite").partitionBy("Year").parquet(store.path("fact_grain"))
+        spread = grain.hint("rebalance", *MONTH)
+        spread.write.mode("overwrite").partitionBy(*MONTH).parquet(store.path("fact_grain"))
         return
     grain = stage(grain)  # used on both sides of the upsert
-    years = [r["Year"] for r in increment.select("Year").distinct().collect()]  # a few numbers
-    touched = store.read_partitions("fact_grain", GRAIN).filter(F.col("Year").isin(years))
-    merged = fact.upsert_fact(touched, grain).hint("rebalance", "Year")
-    store.write_partitions(merged, "fact_grain", ["Year"])
+    number = F.col("Year") * 100 + F.col("Month")
+    # Calendar months, so a short list; the filter below then prunes folders.
+    months = [r[0] for r in increment.select(number).distinct().collect()]
+    touched = store.read_partitions("fact_grain", GRAIN).filter(number.isin(months))
+    merged = fact.upsert_fact(touched, grain).hint("rebalance", *MONTH)
+    store.write_partitions(merged, "fact_grain", MONTH)
 
 
 def transform(store: Store, mode: str = "incremental", fact_mode: str = "rows") -> bool:
@@ -185,7 +187,7 @@ def _transform_window(store: Store, lo: str, anew: bool, fact_mode: str) -> None
     dims = {s.name: d for s, d in zip(DIMS, loaded)}
 
     if fact_mode == "grain":
-        rows = fact.build_fact(increment, dims, keep=["Year"])
+        rows = fact.build_fact(increment, dims, keep=MONTH)
         _write_fact_grain(store, rows, increment, anew)
     else:
         _write_fact_rows(store, fact.build_fact(increment, dims), lo, anew)

@@ -221,7 +221,8 @@ from sales where {_ANY_BAD}""",
     + f"select greatest('{LOAD_BOUND}', max(Date_ID)) as last_load from sales",
     "state_lookup": _with(SALES) + "select max(Date_ID) as last_load from sales",
     "late_rows": _with(SALES)
-    + f"select count(*) as late_rows from sales where o_orderstatus = 'P' and Date_ID <= '{LOAD_BOUND}'",
+    + f"""select o_orderstatus as source_file, count(*) filter (Date_ID <= '{LOAD_BOUND}') as late_rows
+from sales group by 1""",
     # a load is named after the newest Date_ID that earlier extracts had reached
     "bronze_accumulate": _with(
         SALES,
@@ -309,7 +310,7 @@ group by {_NK} having count(*) > 1""",
 from fact left join bd2 using (dim_branch_key) left join ed2 using (dim_dealer_key)
   left join od2 using (dim_model_key) left join td2 using (dim_date_key)""",
     "two_load_grain": _with(SALES)
-    + f"select {_GRAIN_SUMS}, {_NK}, Year from sales group by {_NK}, Year",
+    + f"select {_GRAIN_SUMS}, {_NK}, Year, Month from sales group by {_NK}, Year, Month",
     "layer_counts": _with(SALES)
     + "select 'fact_sales' as table_name, count(*) as n_rows from sales"
     + "".join(f"\nunion all select '{s.name}', count(distinct {s.nk}) from sales" for s in DIMS),

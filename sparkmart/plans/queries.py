@@ -241,9 +241,10 @@ def hwm_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pending orders arrive in a second file, after the bound was reached."""
+    """Late rows per landed file; sales of each order status arrive in a file of their own."""
     feed = sales(spark, sf_dir, ["Date_ID", "o_orderstatus"])
-    return extract.late_rows(feed.filter(F.col("o_orderstatus") == "P"), LOAD_BOUND)
+    feed = feed.withColumnRenamed("o_orderstatus", "source_file")
+    return extract.late_rows(feed, LOAD_BOUND, by=["source_file"])
 
 
 def _extract_in_steps(spark: SparkSession, sf_dir: str) -> Store:
@@ -479,7 +480,7 @@ def two_load_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _two_runs(spark, sf_dir, "grain")
     stored = store.read_partitions("fact_grain", load_job.GRAIN)
     tables = {s.name: store.read_version(s.name, s.schema) for s in DIMS}
-    return _with_natural_keys(stored, tables).select(*MEASURES, *NATURAL_KEYS, "Year")
+    return _with_natural_keys(stored, tables).select(*MEASURES, *NATURAL_KEYS, *load_job.MONTH)
 
 
 # checks ------------------------------------------------------------------------------

@@ -86,6 +86,20 @@ def test_classify_known_and_new(spark):
     assert tuples(dims.new_members(found, dim, DIM_DATE), "Date_ID") == [("DT00003",), ("DT00400",)]
 
 
+def explained(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def test_first_load_joins_nothing(spark):
+    found = spark.createDataFrame([("D1",)], "Dealer_ID string")
+    empty = dims.empty_dim(spark, DIM_DEALER)
+    assert empty.schema == DIM_DEALER.schema and empty.count() == 0
+    assert "Join" not in explained(dims.new_members(found, empty, DIM_DEALER))
+
+
 def test_no_cross_product_and_no_text_maximum_on_sales(spark):
     sales = spark.range(1000).select(
         F.concat(F.lit("B"), (F.col("id") % 10).cast("string")).alias("Branch_ID"),
@@ -94,10 +108,7 @@ def test_no_cross_product_and_no_text_maximum_on_sales(spark):
     )
     dim = spark.createDataFrame([("B1", "n", 1)], DIM_BRANCH.schema)
     found = dims.members(sales, DIM_BRANCH)
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        dims.classify(found, dim, DIM_BRANCH).explain("formatted")
-    text = out.getvalue()
+    text = explained(dims.classify(found, dim, DIM_BRANCH))
     assert "NestedLoop" not in text and "CartesianProduct" not in text
     # the aggregate next to the sales is a hash aggregate; sorting starts behind its shuffle
     first_sort = max(text.find("SortAggregate"), 0)

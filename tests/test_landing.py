@@ -5,6 +5,7 @@ from sparkmart.operators import conform
 from sparkmart.plans import load_job
 from sparkmart.schema import BRONZE, RAW_COLUMNS
 from sparkmart.sources.files import (
+    read_jdbc,
     read_parquet,
     read_path_sql,
     read_raw_sales,
@@ -106,3 +107,8 @@ def test_parquet_path_and_catalog_scans(spark, tmp_path):
     missing = table_or_empty(spark, "no_such_table", BRONZE)
     assert missing.count() == 0 and missing.columns == BRONZE.names
     spark.catalog.dropTempView("scan_me")
+
+
+def test_jdbc_reader_needs_a_driver(spark):
+    with pytest.raises(Exception, match="(?i)driver"):
+        read_jdbc(spark, "jdbc:nothing:here", "dbo.source", ("Date_ID", "0", "9", 4))

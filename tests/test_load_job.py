@@ -115,25 +115,25 @@ def test_run_after_a_crash_ends_like_an_undisturbed_one(
     assert same[0] == same[1] and len(same[0]) == (6 if fact_mode == "rows" else 5)
 
 
-def test_grain_mode_rewrites_only_touched_years(spark, tmp_path, files):
+def test_grain_mode_rewrites_only_touched_months(spark, tmp_path, files):
     root = str(tmp_path / "store")
     store = load_job.run(spark, root, [files[0]], fact_mode="grain")
     assert tuples(store.read_partitions("fact_grain", load_job.GRAIN), *FACT_COLUMNS) == [
         (50, 0, 2, 1, 1, 2), (170, 3, 1, 1, 1, 1), (300, 3, 1, 2, 2, 2)]
-    # an increment of another year alone
+    # an increment of another month alone
     path = write_csv(tmp_path / "third.csv", [BATCH_2[1]])
-    before = sorted(p.name for p in (tmp_path / "store/fact_grain/Year=2019").glob("*.parquet"))
+    before = sorted(p.name for p in (tmp_path / "store/fact_grain/Year=2019/Month=1").glob("*.parquet"))
     load_job.run(spark, root, [path], fact_mode="grain")
-    after = sorted(p.name for p in (tmp_path / "store/fact_grain/Year=2019").glob("*.parquet"))
+    after = sorted(p.name for p in (tmp_path / "store/fact_grain/Year=2019/Month=1").glob("*.parquet"))
     assert before == after
     assert store.read_partitions("fact_grain", load_job.GRAIN).count() == 4
 
 
-def test_grain_mode_refuses_a_date_code_in_two_years(spark, tmp_path):
+def test_grain_mode_refuses_a_date_code_in_two_months(spark, tmp_path):
     row = list(BATCH_1[0])
     row[8] = "2021"
     path = write_csv(tmp_path / "odd.csv", [BATCH_1[0], tuple(row)])
-    with pytest.raises(ValueError, match="several years"):
+    with pytest.raises(ValueError, match="several months"):
         load_job.run(spark, str(tmp_path / "store"), [path], fact_mode="grain")
 
 

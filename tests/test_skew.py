@@ -28,10 +28,11 @@ def no_broadcast(spark):
         spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def hot_sales(spark):
-    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000)
+def hot_sales(spark, value=7):
+    hot = F.lit(value).cast("bigint")
+    number = F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id") % 5000)
     return spark.range(0, 300_000, 1, 8).select(
-        F.concat(F.lit("B"), hot.cast("string")).alias("Branch_ID"),
+        F.concat(F.lit("B"), number.cast("string")).alias("Branch_ID"),
         F.md5(F.col("id").cast("string")).alias("Branch_Name"),
         F.lit("DT00001").alias("Date_ID"),
         F.col("id").alias("Revenue"),
@@ -45,13 +46,15 @@ def executed(df):
     return rows, df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_member_is_split_in_the_key_lookup(spark, no_broadcast):
-    sales = hot_sales(spark)
-    names = sales.select("Branch_ID").distinct()
+@pytest.mark.parametrize("value", [7, None], ids=["member", "missing key"])
+def test_hot_value_is_split_in_the_key_lookup(spark, no_broadcast, value):
+    sales = hot_sales(spark, value)
+    names = sales.select("Branch_ID").dropna().distinct()
     dim = stage(names.select("Branch_ID", F.xxhash64("Branch_ID").alias(DIM_BRANCH.sk)))
     facts = fact.build_fact(sales, {"dim_branch": dim}, [d for d in DIMS if d is DIM_BRANCH], keep=["Branch_Name"])
     rows, plan = executed(facts)
-    assert len(rows) == 300_000 and all(r[DIM_BRANCH.sk] is not None for r in rows)
+    assert len(rows) == 300_000
+    assert sum(r[DIM_BRANCH.sk] is None for r in rows) == (0 if value else 100_000)
     assert "skew=true" in plan
 
 
