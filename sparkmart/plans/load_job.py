@@ -158,11 +158,14 @@ def transform(store: Store, mode: str = "incremental", fact_mode: str = "rows")
     """
     if mode not in ("initial", "incremental") or fact_mode not in ("rows", "grain"):
         raise ValueError(f"unknown mode: {mode}, {fact_mode}")
-    anew = mode == "initial"
-    lo = "" if anew else extract.last_load(store.read_state("gold"))
+    lo = "" if mode == "initial" else extract.last_load(store.read_state("gold"))
     hi = extract.last_load(store.read_state("bronze"))
     if hi <= lo:
         return False
+    anew = not lo
+    if anew:
+        # Tables are about to be replaced: whatever run follows a broken one starts here too.
+        store.write_state(_state_row(store.spark, ""), "gold")
     with staging_area(store.spark):
         _transform_window(store, lo, anew, fact_mode)
     store.write_state(_state_row(store.spark, hi), "gold")

@@ -115,6 +115,25 @@ def test_run_after_a_crash_ends_like_an_undisturbed_one(
     assert same[0] == same[1] and len(same[0]) == (6 if fact_mode == "rows" else 5)
 
 
+def test_incremental_run_after_a_broken_rebuild_rebuilds(spark, tmp_path, files, monkeypatch):
+    root = str(tmp_path / "store")
+    load_job.run(spark, root, [files[0]])
+    store = load_job.run(spark, root, [files[1]])
+
+    def crash(*_, **__):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(load_job, "_write_fact_rows", crash)
+        with pytest.raises(RuntimeError):
+            load_job.transform(store, mode="initial")
+    assert load_job.transform(store)
+    report = load_job.validate(store)
+    totals = tuples(report["fact_totals"])
+    assert totals[0][1:] == totals[1][1:] and totals[0][1] == 6
+    assert report["unmatched"].filter("n_unmatched > 0").count() == 0
+
+
 def test_grain_mode_rewrites_only_touched_months(spark, tmp_path, files):
     root = str(tmp_path / "store")
     store = load_job.run(spark, root, [files[0]], fact_mode="grain")
