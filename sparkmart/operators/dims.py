@@ -33,7 +33,9 @@ def members(silver: DataFrame, spec: DimSpec, by: Sequence[str] = ()) -> DataFra
     named = silver.filter(F.col(spec.nk).isNotNull())
     if not spec.attrs:
         return named.select(*by, spec.nk).distinct()
-    versions = named.groupBy(*by, *spec.member_columns).agg(F.max(date_ordinal()).alias("_at"))
+    # All sales of a date member have that one date, so there is nothing to compare.
+    at = F.lit(0) if spec.nk == "Date_ID" else date_ordinal()
+    versions = named.groupBy(*by, *spec.member_columns).agg(F.max(at).alias("_at"))
     latest = F.max(F.struct("_at", *spec.attrs)).alias("_latest")
     return (
         versions.groupBy(*by, spec.nk)

@@ -20,7 +20,6 @@ from sparkmart.operators.dims import empty_dim, load_dim
 from sparkmart.schema import (
     BRONZE,
     BRONZE_COLUMNS,
-    DIM_DATE,
     DIMS,
     FACT,
     FACT_COLUMNS,

@@ -25,7 +25,6 @@ from sparkmart.schema import (
     MEASURES,
     NATURAL_KEYS,
     RAW_COLUMNS,
-    SILVER,
     SILVER_COLUMNS,
     DimSpec,
 )

@@ -14,6 +14,8 @@ def local_session(app: str = "sparkmart", cores: int | str = "*", **conf: str) -
         "spark.sql.shuffle.partitions": str(cpus),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Folder-per-value writes keep a few files open instead of sorting every task first.
+        "spark.sql.maxConcurrentOutputFileWriters": "32",
         "spark.driver.memory": "8g",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sparkmart.schema import WATERMARK
@@ -58,9 +57,9 @@ class Store:
 
     def write_loads_anew(self, df: DataFrame, table: str) -> None:
         """Replaces the whole table by one first load. ``df`` must not read the table."""
-        df.withColumn("load", F.lit(FIRST_LOAD)).write.mode("overwrite").partitionBy(
-            "load"
-        ).parquet(self.path(table))
+        path = self.path(table)
+        self._fs(path).delete(self._hadoop_path(path), True)
+        self.write_load(df, table, "")
 
     def read_loads(self, table: str, schema: StructType, since: str | None = None) -> DataFrame:
         """All loads, or those that start at ``since`` or later (only those are listed)."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 
 from sparkmart.schema import RAW, RAW_COLUMNS
+from sparkmart.sources.staging import stage
 
 BATCH_1 = [
     ("BR0001", "DLR0001", "Aaa-M1", "100", "2", "DT00001", "1", "1", "2019", "North", "One, Two Ltd", "Alpha"),
@@ -19,8 +20,15 @@ BATCH_2 = [
 ]
 
 
+_stored = {}
+
+
 def raw(spark, rows):
-    return spark.createDataFrame(rows, RAW)
+    """The rows as a stored table, written once per test session."""
+    key = (spark.sparkContext.applicationId, tuple(rows))
+    if key not in _stored:
+        _stored[key] = stage(spark.createDataFrame(rows, RAW).coalesce(1))
+    return _stored[key]
 
 
 def write_csv(path, rows):

@@ -22,8 +22,12 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def interpreted(spark):
-    """Tiny tables spend most of their time compiling; run those tests without codegen."""
-    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    """Tiny tables spend most of their time in planning and compiling; spare them that."""
+    settings = {
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+        "spark.sql.adaptive.enabled": "false",
+    }
     saved = {k: spark.conf.get(k) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
