@@ -1,7 +1,8 @@
 """Analytics on the star: aggregate the fact by surrogate key first, then join.
 
 The fact never meets a dimension row by row: partial sums shrink it before the only
-shuffle, and a hot member is one row per map task by then.
+shuffle, and a hot member is one row per map task by then. The joins are left joins,
+so sales without a member stay in the report under NULL and totals are whole.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def member_performance(fact: DataFrame, dim: DataFrame, spec: DimSpec) -> DataFr
     """Revenue, units, sales and revenue per unit of each member."""
     return (
         _totals(fact, spec.sk)
-        .join(dim, spec.sk)
+        .join(dim, spec.sk, "left")
         .select(
             *spec.member_columns,
             "Revenue",
@@ -50,8 +51,8 @@ def model_trend(fact: DataFrame, dim_model: DataFrame, dim_date: DataFrame) -> D
         F.sum("Revenue").alias("Revenue"), F.sum("Units_Sold").alias("Units_Sold")
     )
     return (
-        by_keys.join(dim_model, DIM_MODEL.sk)
-        .join(dim_date, DIM_DATE.sk)
+        by_keys.join(dim_model, DIM_MODEL.sk, "left")
+        .join(dim_date, DIM_DATE.sk, "left")
         .groupBy("model_category", "Year", "Month")
         .agg(F.sum("Revenue").alias("Revenue"), F.sum("Units_Sold").alias("Units_Sold"))
     )
@@ -64,10 +65,10 @@ def revenue_growth(fact: DataFrame, dim_branch: DataFrame, dim_date: DataFrame)
     """
     by_keys = fact.groupBy(DIM_BRANCH.sk, DIM_DATE.sk).agg(F.sum("Revenue").alias("Revenue"))
     yearly = (
-        by_keys.join(dim_date.select(DIM_DATE.sk, "Year"), DIM_DATE.sk)
+        by_keys.join(dim_date.select(DIM_DATE.sk, "Year"), DIM_DATE.sk, "left")
         .groupBy(DIM_BRANCH.sk, "Year")
         .agg(F.sum("Revenue").alias("Revenue"))
-        .join(dim_branch, DIM_BRANCH.sk)
+        .join(dim_branch, DIM_BRANCH.sk, "left")
     )
     previous = F.lag("Revenue").over(Window.partitionBy("Branch_ID").orderBy("Year"))
     change = F.try_divide(F.col("Revenue") - F.col("previous_revenue"), F.col("previous_revenue"))

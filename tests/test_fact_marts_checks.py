@@ -78,6 +78,17 @@ def test_performance(star):
         ("DLR0001", 220, 3, 3, 220 / 3), ("DLR0002", 300, 3, 1, 100.0)]
 
 
+def test_sales_without_a_member_stay_in_the_reports(spark, star):
+    _, tables, _ = star
+    facts = fact.build_fact(enriched(spark, BATCH_2), tables)
+    assert tuples(marts.dealer_performance(facts, tables["dim_dealer"])) == [
+        (None, 90, 3, 1, 30.0), ("DLR0001", 50, 5, 2, 10.0)]
+    trend = marts.model_trend(facts, tables["dim_model"], tables["dim_date"])
+    assert tuples(trend) == [(None, None, None, 40, 4), ("Aaa", 2019, 1, 10, 1), ("Bbb", None, None, 90, 3)]
+    growth = marts.revenue_growth(facts, tables["dim_branch"], tables["dim_date"])
+    assert growth.count() == 3 and growth.groupBy().sum("Revenue").first()[0] == 140
+
+
 def test_trend(star):
     _, tables, facts = star
     assert tuples(marts.model_trend(facts, tables["dim_model"], tables["dim_date"])) == [
