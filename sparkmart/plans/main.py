@@ -1,7 +1,7 @@
-"""Command line of the full run, for spark-submit.
+"""Command line of the full run.
 
-    spark-submit --py-files ... sparkmart/plans/main.py --root s3a://bucket/mart \\
-        --file s3a://bucket/incoming/sales.csv --incremental-flag 1 --publish gold
+    spark-submit load.py --root s3a://bucket/mart --file s3a://bucket/incoming/sales.csv \\
+        --incremental-flag 1 --publish gold
 """
 
 from __future__ import annotations
@@ -35,6 +35,3 @@ def main(argv: Sequence[str] | None = None) -> None:
             print(name)
             table.show(truncate=False)
 
-
-if __name__ == "__main__":
-    main()

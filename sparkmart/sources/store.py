@@ -57,9 +57,12 @@ class Store:
 
     def write_loads_anew(self, df: DataFrame, table: str) -> None:
         """Replaces the whole table by one first load. ``df`` must not read the table."""
+        self.drop(table)
+        self.write_load(df, table, "")
+
+    def drop(self, table: str) -> None:
         path = self.path(table)
         self._fs(path).delete(self._hadoop_path(path), True)
-        self.write_load(df, table, "")
 
     def read_loads(self, table: str, schema: StructType, since: str | None = None) -> DataFrame:
         """All loads, or those that start at ``since`` or later (only those are listed)."""

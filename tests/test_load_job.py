@@ -148,6 +148,29 @@ def test_grain_mode_rewrites_only_touched_months(spark, tmp_path, files):
     assert store.read_partitions("fact_grain", load_job.GRAIN).count() == 4
 
 
+def test_grain_mode_is_published_and_checked(spark, calm):
+    store = calm["grain"]
+    load_job.publish(store, "grain_test")
+    assert spark.table("grain_test.fact_grain").columns == list(FACT_COLUMNS)
+    assert spark.table("grain_test.fact_grain").count() == 5
+    assert not spark.catalog.tableExists("grain_test.fact_sales")
+    spark.sql("DROP DATABASE grain_test CASCADE")
+    report = load_job.validate(store)
+    silver, facts = sorted(tuples(report["fact_totals"]), reverse=True)
+    assert silver[2:] == facts[2:] and (silver[1], facts[1]) == (6, 5)
+
+
+def test_changing_the_fact_mode_needs_a_rebuild(spark, tmp_path, files):
+    root = str(tmp_path / "store")
+    load_job.run(spark, root, [files[0]], fact_mode="rows")
+    with pytest.raises(ValueError, match="initial"):
+        load_job.run(spark, root, [files[1]], fact_mode="grain")
+    store = Store(spark, root)
+    assert load_job.transform(store, mode="initial", fact_mode="grain")
+    tables = load_job.gold(store)
+    assert tables["fact_grain"].count() == 5 and "fact_sales" not in tables
+
+
 def test_grain_mode_refuses_a_date_code_in_two_months(spark, tmp_path):
     row = list(BATCH_1[0])
     row[8] = "2021"
