@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 import oracle
+from sparkmart.plans.oracles import ORACLES as SQL
+from sparkmart.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(SQL) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
