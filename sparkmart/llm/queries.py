@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import packing, token_files
+from sparkmart.llm import packing, quality, token_files
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
 
@@ -30,9 +30,15 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's word statistics and verdicts."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op6_token_files": op6_token_files,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
