@@ -35,15 +35,15 @@ class Bands:
 
     #: Prose has 1.2 to 1.9 at 256 bytes, 2 to 2.5 at 4 KB, 2.3 to 3.2 at 64 KB; base64 1.3, random bytes 1.0.
     whole: tuple[tuple[int, float, float], ...] = (
-        (256, 1.05, 3.0),
-        (512, 1.15, 3.2),
-        (1024, 1.25, 3.4),
-        (4096, 1.40, 3.8),
-        (16384, 1.45, 4.4),
-        (65536, 1.45, 5.5),
+        (256, 1.05, 2.4),
+        (512, 1.15, 2.6),
+        (1024, 1.25, 2.8),
+        (4096, 1.40, 3.1),
+        (16384, 1.45, 3.5),
+        (65536, 1.45, 4.2),
     )
     chunk_bytes: int = 1024
-    chunk: tuple[float, float] = (1.25, 3.4)
+    chunk: tuple[float, float] = (1.25, 2.8)
     bad_chunks: float = 0.30
     level: int = 3
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import packing, quality, token_files
+from sparkmart.llm import packing, quality, token_files, toxicity
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
 
@@ -18,6 +18,18 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.join(places, "key").drop("key")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by a model of the labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and digest, read back from the files of token ids."""
     path = new_folder(spark)
@@ -37,6 +49,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
 }
