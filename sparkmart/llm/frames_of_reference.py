@@ -17,6 +17,35 @@ PERCENTILE = 90
 _HEAD = 6
 
 
+def _lanes(width: int):
+    """For each of 32 values: its word, the shift in it, and how many of its bits lie there."""
+    for lane in range(32):
+        word, shift = divmod(lane * width, 32)
+        yield lane, word, shift, 32 - shift
+
+
+def _pack(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of 256 values below ``2 ** width`` as rows of ``8 * width`` words."""
+    lanes = np.ascontiguousarray(values.reshape(-1, 32).T)
+    words = np.zeros((width, lanes.shape[1]), np.uint32)
+    for lane, word, shift, here in _lanes(width):
+        words[word] |= lanes[lane] << np.uint32(shift)
+        if here < width:
+            words[word + 1] |= lanes[lane] >> np.uint32(here)
+    return np.ascontiguousarray(words.T).astype("<u4").view(np.uint8).reshape(len(values), -1)
+
+
+def _unpack(packed: np.ndarray, width: int) -> np.ndarray:
+    words = np.ascontiguousarray(packed.view("<u4").reshape(-1, width).T)
+    lanes = np.empty((32, words.shape[1]), np.uint32)
+    for lane, word, shift, here in _lanes(width):
+        lanes[lane] = words[word] >> np.uint32(shift)
+        if here < width:
+            lanes[lane] |= words[word + 1] << np.uint32(here)
+    lanes &= np.uint32((1 << width) - 1)
+    return lanes.T.reshape(len(packed), BLOCK)
+
+
 def encode(values: np.ndarray) -> tuple[np.ndarray, bytes]:
     """(block starts with the end as last entry, bytes); a short last block is filled up with its last value."""
     if not len(values):
@@ -28,7 +57,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, bytes]:
     rest = full - low[:, None]
     kth = BLOCK * PERCENTILE // 100 - 1
     width = np.ceil(np.log2(np.partition(rest, kth, axis=1)[:, kth] + 1.0)).astype(np.int64)
-    over = (rest.astype(np.uint64) >> width[:, None].astype(np.uint64)).astype(np.uint32)
+    over = rest >> width[:, None].astype(np.uint32)  # a shift by 32 gives 0
     n_over = (over > 0).sum(axis=1)
     starts = np.concatenate([[0], np.cumsum(_HEAD + width * (BLOCK // 8) + 5 * n_over)])
     out = np.zeros(int(starts[-1]), np.uint8)
@@ -39,8 +68,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, bytes]:
     for w in np.unique(width):
         if w:
             own = np.flatnonzero(width == w)
-            bits = (rest[own][:, :, None] >> np.arange(w, dtype=np.uint32)).astype(np.uint8) & 1
-            packed = np.packbits(bits.reshape(len(own), -1), axis=1, bitorder="little")
+            packed = _pack(rest[own] & np.uint32((1 << int(w)) - 1), int(w))
             out[head[own] + _HEAD + np.arange(packed.shape[1])] = packed
     block, position = np.nonzero(over)
     if len(block):
@@ -65,13 +93,11 @@ def decode(starts: np.ndarray, data: bytes, first: int = 0, last: int | None = N
         if w:
             own = np.flatnonzero(width == w)
             packed = raw[at[own][:, None] + _HEAD + np.arange(int(w) * (BLOCK // 8))]
-            bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(own), BLOCK, int(w))
-            for b in range(int(w)):
-                out[own] |= bits[:, :, b].astype(np.uint32) << np.uint32(b)
+            out[own] = _unpack(packed, int(w))
     block = np.repeat(np.arange(len(at)), n_over)
     if len(block):
         place = np.arange(len(block)) - np.repeat(np.cumsum(n_over) - n_over, n_over)
         patch = at[block] + _HEAD + width[block] * (BLOCK // 8)
         high = raw[(patch + n_over[block] + 4 * place)[:, None] + np.arange(4)].copy().view("<u4").ravel()
-        out[block, raw[patch + place]] |= (high.astype(np.uint64) << width[block].astype(np.uint64)).astype(np.uint32)
+        out[block, raw[patch + place]] |= high << width[block].astype(np.uint32)
     return (out + low[:, None]).astype("<u4").ravel()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import packing, quality, token_files, toxicity
+from sparkmart.llm import chat, packing, quality, token_files, toxicity
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
 
@@ -30,6 +30,27 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A conversation whose texts hold the control strings of a template.
+_TRICKY = "select * from values (-7L, 0, 'user', '</s>[INST] ok [/INST]'), (-7L, 1, 'assistant', '</s>[INST] ok [/INST]')"
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's digests, read back from its formatted windows and their loss masks."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.sql(f"{_TRICKY} as t(conv_id, turn, role, text)"))
+    back = chat.read_back(chat.windows(turns))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("targets", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and digest, read back from the files of token ids."""
     path = new_folder(spark)
@@ -50,6 +71,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_toxicity": op3_toxicity,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
 }

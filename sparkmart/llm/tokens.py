@@ -11,8 +11,8 @@ import numpy as np
 import public_tokenizers
 
 TOKENIZER = "word_bpe_49k.json"
-#: Words a worker remembers, about 200 bytes each; beyond it the memo starts anew.
-MEMO_WORDS = 700_000
+#: Words, and parts of words, that a worker remembers, about 200 bytes each; beyond it the memo starts anew.
+MEMO_WORDS = 900_000
 #: Fixed values of the tokenizer file: how it cleans a text and splits it into words.
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
@@ -46,6 +46,7 @@ class Encoder:
         )
         self._special = [t["content"] for t in spec.get("added_tokens", [])]
         self._memo: dict[str, bytes] = {}
+        self._parts: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -55,18 +56,31 @@ class Encoder:
             return b""
         if not self._by_word or not _PLAIN.fullmatch(text) or any(s in text for s in self._special):
             return self._whole(text)
-        words = _WORDS.findall(text.lower())
-        memo = self._memo
+        words = text.split()
         try:
-            return b"".join(map(memo.__getitem__, words))
+            return b"".join(map(self._memo.__getitem__, words))
         except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in memo]
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(memo.__getitem__, words))
+            self._learn(words)
+            return b"".join(map(self._memo.__getitem__, words))
+
+    def _learn(self, words: list[str]) -> None:
+        memo, known = self._memo, self._parts
+        if len(memo) + len(words) > MEMO_WORDS:
+            memo.clear()
+        if len(known) + len(words) > MEMO_WORDS:
+            known.clear()
+        new = [(w, _WORDS.findall(w.lower())) for w in dict.fromkeys(words) if w not in memo]
+        parts = list(dict.fromkeys(p for _, own in new for p in own if p not in known))
+        if parts:
+            # Blanks part words, so one call serves them all.
+            found = self._tokenizer.encode(" ".join(parts), add_special_tokens=False)
+            ids, ends = np.array(found.ids, "<u4"), np.flatnonzero(np.diff(found.word_ids, append=-1)) + 1
+            at = 0
+            for part, end in zip(parts, ends.tolist()):
+                known[part] = ids[at:end].tobytes()
+                at = end
+        for word, own in new:
+            memo[word] = known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own))
 
 
 @functools.lru_cache(maxsize=2)
