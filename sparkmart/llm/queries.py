@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, packing, quality, token_files, toxicity
+from sparkmart.llm import chat, packing, quality, token_files, toxicity, url_rules
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
 
@@ -18,6 +18,39 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.join(places, "key").drop("key")
 
 
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    rules = spark.sql(f"select * from values {', '.join(map(str, URL_RULES))} as t(host, path, verdict)")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+OP2_SQL = rf"""
+with rules(rule_host, rule_path, rule_verdict) as (values {', '.join(map(str, URL_RULES))}),
+parts as (
+    select page_id,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+    from pages),
+places as (select distinct host, path from parts),
+fitting as (
+    select host, path, rule_host || rule_path as rule, rule_verdict,
+        row_number() over (partition by host, path order by length(rule_host || rule_path) desc, length(rule_host) desc) as n
+    from places join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
+select p.page_id, p.host, p.path, f.rule, coalesce(f.rule_verdict, 'allow') as verdict
+from parts p left join fitting f on p.host = f.host and p.path = f.path and f.n = 1
+"""
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score by a model of the labelled documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -70,10 +103,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_url_filters": op2_url_filters,
     "op3_toxicity": op3_toxicity,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_url_filters": OP2_SQL,
+}
