@@ -56,7 +56,9 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, bytes]:
     low = full.min(axis=1)
     rest = full - low[:, None]
     kth = BLOCK * PERCENTILE // 100 - 1
-    width = np.ceil(np.log2(np.partition(rest, kth, axis=1)[:, kth] + 1.0)).astype(np.int64)
+    # The exponent of a float is the value's bit length (one more where rounding carries); bytes sort by radix.
+    bits = (rest.astype(np.float32).view(np.uint32) >> 23).astype(np.uint8)
+    width = np.clip(np.sort(bits, axis=1, kind="stable")[:, kth].astype(np.int64) - 126, 0, 32)
     over = rest >> width[:, None].astype(np.uint32)  # a shift by 32 gives 0
     n_over = (over > 0).sum(axis=1)
     starts = np.concatenate([[0], np.cumsum(_HEAD + width * (BLOCK // 8) + 5 * n_over)])

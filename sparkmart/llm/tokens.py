@@ -47,6 +47,13 @@ class Encoder:
         self._special = [t["content"] for t in spec.get("added_tokens", [])]
         self._memo: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {}
+        if self._by_word:
+            suffix, vocabulary = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
+            self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            model = self._tokenizer.model
+            model._resize_cache(0)  # each part is asked for once; the library's own memo would only cost
+            self._tokenizer.model = model
+            self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -57,30 +64,34 @@ class Encoder:
         if not self._by_word or not _PLAIN.fullmatch(text) or any(s in text for s in self._special):
             return self._whole(text)
         words = text.split()
-        try:
-            return b"".join(map(self._memo.__getitem__, words))
-        except KeyError:
-            self._learn(words)
-            return b"".join(map(self._memo.__getitem__, words))
+        if new := set(words).difference(self._memo):
+            self._learn(words, new)
+        return b"".join(map(self._memo.__getitem__, words))
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str], new: set[str]) -> None:
         memo, known = self._memo, self._parts
-        if len(memo) + len(words) > MEMO_WORDS:
+        if len(memo) + len(new) > MEMO_WORDS:
             memo.clear()
+            new = set(words)
         if len(known) + len(words) > MEMO_WORDS:
             known.clear()
-        new = [(w, _WORDS.findall(w.lower())) for w in dict.fromkeys(words) if w not in memo]
-        parts = list(dict.fromkeys(p for _, own in new for p in own if p not in known))
-        if parts:
-            # Blanks part words, so one call serves them all.
-            found = self._tokenizer.encode(" ".join(parts), add_special_tokens=False)
-            ids, ends = np.array(found.ids, "<u4"), np.flatnonzero(np.diff(found.word_ids, append=-1)) + 1
-            at = 0
-            for part, end in zip(parts, ends.tolist()):
-                known[part] = ids[at:end].tobytes()
+        split = []
+        for word in new:
+            if word.isalpha():
+                split.append((word, [word.lower()]))
+            elif word[-1] in ".,;:!?" and word[:-1].isalpha():
+                split.append((word, [word[:-1].lower(), word[-1]]))
+            else:
+                split.append((word, _WORDS.findall(word.lower())))
+        if parts := list(dict.fromkeys(p for _, own in split for p in own if p not in known)):
+            # Blanks part words, so one call serves them all; the last token of each says so.
+            ids = np.array(self._tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+            data, at = ids.tobytes(), 0
+            for part, end in zip(parts, (4 * np.flatnonzero(self._ends[ids]) + 4).tolist(), strict=True):
+                known[part] = data[at:end]
                 at = end
-        for word, own in new:
-            memo[word] = known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own))
+        for word, own in split:
+            memo[word] = known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own])
 
 
 @functools.lru_cache(maxsize=2)
