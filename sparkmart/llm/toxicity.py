@@ -37,12 +37,12 @@ _EDGES = ".,;:!?\"'()[]{}«»“”‘’…-–—"
 @dataclass(frozen=True)
 class Settings:
     #: Labelled texts to learn from, by class; the only bound on what is learnt from.
-    toxic_rows: int = 2000
-    clean_rows: int = 4000
+    toxic_rows: int = 1500
+    clean_rows: int = 3000
     buckets: int = 1 << 17
     dim: int = 8
     shortest: int = 3
-    longest: int = 6
+    longest: int = 5
     epochs: int = 8
     #: A small sample is gone over more often, up to so many steps.
     steps: int = 300
@@ -129,13 +129,14 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     found = sampled.orderBy(F.xxhash64("doc_id", "text")).select("toxic", "text").mapInArrow(
         bags, "toxic boolean, rows binary, counts binary"
     ).collect()
-    model = fit([(r["toxic"], np.frombuffer(r["rows"], np.uint32), np.frombuffer(r["counts"], np.float32)) for r in found], settings)
+    toxic, size = sum(r["toxic"] for r in found), len(found)
+    found = [(r["toxic"], np.frombuffer(r["rows"], np.uint32), np.frombuffer(r["counts"], np.float32)) for r in found]
+    model = fit(found, settings)
     # The sample holds more toxic texts than the labels do; the bias goes back to their share.
     share = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    if len(share) < 2:
+    if len(share) < 2 or toxic in (0, size):
         return model
-    toxic = sum(r["toxic"] for r in found)
-    return replace(model, bias=model.bias + float(np.log(share[True] / share[False] * (len(found) - toxic) / toxic)))
+    return replace(model, bias=model.bias + float(np.log(share[True] / share[False] * (size - toxic) / toxic)))
 
 
 class _Batch:
@@ -143,12 +144,12 @@ class _Batch:
 
     def __init__(self, bags: list[tuple[bool, np.ndarray, np.ndarray]]):
         self.toxic = np.array([b[0] for b in bags], np.float32)
-        self._rows = np.concatenate([b[1] for b in bags]).astype(np.int64)
+        self._rows = np.concatenate([b[1] for b in bags]).astype(np.int32)
         self._share = np.concatenate([b[2] / b[2].sum() for b in bags])[:, None]
         sizes = np.array([len(b[1]) for b in bags])
         self._starts = np.cumsum(sizes) - sizes
-        self._order = np.argsort(self._rows, kind="stable")
-        self._text = np.repeat(np.arange(len(bags)), sizes)[self._order]
+        self._order = np.argsort(self._rows, kind="stable").astype(np.int32)
+        self._text = np.repeat(np.arange(len(bags), dtype=np.int32), sizes)[self._order]
         self.rows, self._firsts = np.unique(self._rows[self._order], return_index=True)
 
     def average(self, table: np.ndarray) -> np.ndarray:
@@ -160,13 +161,14 @@ class _Batch:
 
 
 def fit(bags: list[tuple[bool, np.ndarray, np.ndarray]], settings: Settings) -> Model:
-    """Embedding table and softmax layer together, from (toxic, rows, counts)."""
-    bags = [b for b in bags if len(b[1])]
+    """Embedding table and softmax layer together, from (toxic, rows, counts); ``bags`` is used up to free its memory."""
+    bags[:] = [b for b in bags if len(b[1])]
     if not bags:
         return Model(settings, np.zeros(settings.buckets, np.float32), -30.0)
     rng = np.random.default_rng(settings.seed)
-    bags = [bags[i] for i in rng.permutation(len(bags))]
-    batches = [_Batch(bags[i : i + settings.batch]) for i in range(0, len(bags), settings.batch)]
+    order = rng.permutation(len(bags))
+    batches = [_Batch([bags[k] for k in order[i : i + settings.batch]]) for i in range(0, len(bags), settings.batch)]
+    bags.clear()
     table = rng.normal(0, 0.1, (settings.buckets, settings.dim)).astype(np.float32)
     layer = rng.normal(0, 0.1, (settings.dim, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
