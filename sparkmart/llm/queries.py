@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, packing, quality, token_files, toxicity, url_rules
+from sparkmart.llm import chat, packing, personal_data, quality, token_files, toxicity, url_rules
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
 
@@ -101,6 +101,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: counts and digest of the base kinds, and all spans."""
+    kinds = ["email", "ip", "card", "phone"]
+    found = personal_data.find(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[F.size(personal_data.of_kinds(spans, [k])).cast("long").alias(f"n_{k}") for k in kinds],
+        F.sha2(personal_data.joined(personal_data.of_kinds(spans, kinds)), 256).alias("base_sha256"),
+        personal_data.joined(spans).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
@@ -108,6 +121,7 @@ QUERIES = {
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
+    "op8_personal_data": op8_personal_data,
 }
 
 ORACLES: dict[str, str] = {
