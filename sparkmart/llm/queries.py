@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, packing, personal_data, quality, token_files, toxicity, url_rules
+from sparkmart.llm import chat, decontamination, packing, personal_data, quality, token_files, toxicity, url_rules
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
 
@@ -114,6 +114,19 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that it leaks."""
+    docs = table(spark, sf_dir, "documents")
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    items = F.coalesce("item_ids", F.expr("cast(array() as array<bigint>)"))
+    return docs.join(found, decontamination.is_leaky(), "left").select(
+        "doc_id",
+        F.size(items).cast("long").alias("n_items"),
+        items.alias("item_ids"),
+        (F.size(items) == 0).alias("kept"),
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
@@ -122,6 +135,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op8_personal_data": op8_personal_data,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
