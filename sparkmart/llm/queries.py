@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, decontamination, packing, personal_data, quality, token_files, toxicity, url_rules
+from sparkmart.llm import chat, decontamination, line_dedup, packing, personal_data, quality, token_files, toxicity, url_rules
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
 
@@ -114,6 +114,23 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the runs of lines that occurred before, and where they did."""
+    docs, runs, _ = line_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate(
+        F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(r["first"], r["last"])))),
+        F.lit(0).cast("long"),
+        lambda n, _: n + 1,
+    )
+    return docs.select(
+        "doc_id",
+        "text",
+        removed.alias("n_removed_lines"),
+        F.col(runs).alias("removed_runs"),
+        F.array_distinct(F.col(runs)["first_doc_id"]).alias("first_doc_ids"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items that it leaks."""
     docs = table(spark, sf_dir, "documents")
@@ -135,6 +152,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op8_personal_data": op8_personal_data,
+    "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
