@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, decontamination, line_dedup, packing, personal_data, quality, token_files, toxicity, url_rules
+from sparkmart.llm import chat, decontamination, line_dedup, near_dedup, packing, personal_data, quality, token_files, toxicity, url_rules
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
 
@@ -63,6 +63,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near copies."""
+    docs = near_dedup.numbered_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "row")
+    return near_dedup.group(docs, "row").select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
 #: A conversation whose texts hold the control strings of a template.
 _TRICKY = "select * from values (-7L, 0, 'user', '</s>[INST] ok [/INST]'), (-7L, 1, 'assistant', '</s>[INST] ok [/INST]')"
 
@@ -148,6 +156,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
     "op3_toxicity": op3_toxicity,
+    "op4_near_dedup": op4_near_dedup,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
