@@ -1,13 +1,46 @@
-"""The corpus pipeline: stages from raw documents to packed sequences."""
+"""The corpus pipeline: from raw documents to packed sequences.
+
+Every stage but the last returns the columns of its documents, whatever they are;
+``n_chars``, where there is one, follows a text that changed. Documents that come out of
+line dedup without a word, since all their lines occurred before, go.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkmart.llm import decontamination, line_dedup, near_dedup, packing, toxicity
+from sparkmart.llm.common import WORD, table, written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from the labels, does not reject."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return docs.where(toxicity.score_column(F.col("text"), model) < toxicity.THRESHOLD)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the runs of lines that occurred before."""
+    cut, runs, _ = line_dedup.deduplicate(docs)
+    changed = F.size(runs) > 0
+    cut = cut.where(~changed | F.regexp_like("text", F.lit(WORD)))
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cut = cut.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dedup.first_of_each(docs)
+
 
-from sparkmart.llm import packing
-from sparkmart.llm.common import table, written
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,10 +50,14 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
     ("best_fit_packing", pack),
 ]
 
-#: Token ids and learnt scores are beyond SQL.
+#: Learnt scores and token ids are beyond SQL.
 ORACLE_SQL: str | None = None
 
 

@@ -31,6 +31,14 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have; Spark's names ignore case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def group_count(rows: int, each: int) -> int:
     """Groups of about ``each`` rows."""
     return max(1, -(-rows // each))

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm.common import fresh
+
 WIDTH, LITERALS = 5, 3
 CONTAINMENT, LONG_RUN = 0.75, 20
 #: A benchmark with more windows is joined by shuffle; below, it takes 24 bytes a window in every task.
@@ -139,13 +141,18 @@ def _consistent(found: DataFrame, docs: DataFrame, item_windows: DataFrame) -> D
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(leaky_id, leaky_hash, item_ids) of the distinct documents that leak an item."""
-    found = leaks(docs, benchmark)
-    return found.groupBy(F.col("doc_id").alias("leaky_id"), F.col("text_hash").alias("leaky_hash")).agg(
-        F.array_sort(F.collect_set("item_id")).alias("item_ids")
-    )
+    """(doc_id, text_hash, item_ids) of the distinct documents that leak an item."""
+    return leaks(docs, benchmark).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+
+
+def joined(docs: DataFrame, benchmark: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with ``contaminated``, of whose columns ``item_ids`` may stay; null ids meet null ids."""
+    leaky_id, leaky_hash, items = (fresh(docs, n) for n in ("leaky_id", "leaky_hash", "item_ids"))
+    found = contaminated(docs, benchmark).toDF(leaky_id, leaky_hash, items)
+    same = F.col("doc_id").eqNullSafe(F.col(leaky_id)) & (F.xxhash64("text") == F.col(leaky_hash))
+    return docs.join(found, same, how).drop(leaky_id, leaky_hash)
 
 
-def is_leaky() -> Column:
-    """Join condition of documents with ``contaminated``; null ids meet null ids."""
-    return F.col("doc_id").eqNullSafe(F.col("leaky_id")) & (F.xxhash64("text") == F.col("leaky_hash"))
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that leak no item."""
+    return joined(docs, benchmark, "left_anti")

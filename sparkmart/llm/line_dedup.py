@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import WORD, numbered, record_batches, written
+from sparkmart.llm.common import WORD, fresh, numbered, record_batches, written
 
 GRAM_WORDS, RUN_WORDS = 40, 50
 _WORD = re.compile(WORD)
@@ -95,7 +95,7 @@ def _line_table(rows: DataFrame, row: str) -> DataFrame:
 
         return record_batches(table(), schema)
 
-    return written(rows.select(row, F.col("doc_id").cast("long"), "text").mapInArrow(hashed, _LINES))
+    return written(rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long"), "text").mapInArrow(hashed, _LINES))
 
 
 def _extended(own: np.ndarray, other: np.ndarray, at: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -160,16 +160,10 @@ def deduplicate(docs: DataFrame) -> tuple[DataFrame, str, str]:
     Two columns are added, and their names returned, as they avoid those that are there:
     the runs (empty where nothing was deleted) and the text as it was.
     """
-
-    def fresh(name: str) -> str:
-        while name in docs.columns:
-            name += "_"
-        return name
-
-    row, runs, before = fresh("row_number"), fresh("removed_runs"), fresh("whole_text")
+    row, runs, before, found_row = (fresh(docs, n) for n in ("row_number", "removed_runs", "whole_text", "found_row"))
     rows = written(numbered(docs, row))
-    found = repeated_runs(rows, row).select(F.col("row").alias(fresh("found_row")), F.col("runs").alias(runs))
-    joined = rows.join(found, F.col(row) == F.col(fresh("found_row")), "left")
+    found = repeated_runs(rows, row).select(F.col("row").alias(found_row), F.col("runs").alias(runs))
+    joined = rows.join(found, F.col(row) == F.col(found_row), "left")
     none = F.expr("cast(array() as array<struct<first: int, last: int, first_doc_id: bigint>>)")
     kept = F.filter(
         F.split("text", "\n", -1), lambda line, n: ~F.exists(runs, lambda r: (n >= r["first"]) & (n <= r["last"]))

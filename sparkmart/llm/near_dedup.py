@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import numbered, record_batches, written
+from sparkmart.llm.common import fresh, numbered, record_batches, written
 from sparkmart.llm.components import Union, components
 
 SHINGLE, PERCENT = 5, 75
@@ -317,3 +317,11 @@ def group(docs: DataFrame, row: str) -> DataFrame:
 def numbered_rows(docs: DataFrame, row: str) -> DataFrame:
     """``docs`` written with a row number, as ``group`` needs it."""
     return written(numbered(docs, row))
+
+
+def first_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that come first in their component."""
+    row, first = fresh(docs, "row_number"), fresh(docs, "first_row")
+    rows = numbered_rows(docs, row)
+    firsts = group(rows, row).where("row = first_row").select(F.col("row").alias(first))
+    return rows.join(firsts, F.col(row) == F.col(first), "left_semi").select(*docs.columns)

@@ -141,14 +141,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items that it leaks."""
-    docs = table(spark, sf_dir, "documents")
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.joined(docs, table(spark, sf_dir, "benchmark"), "left")
     items = F.coalesce("item_ids", F.expr("cast(array() as array<bigint>)"))
-    return docs.join(found, decontamination.is_leaky(), "left").select(
-        "doc_id",
-        F.size(items).cast("long").alias("n_items"),
-        items.alias("item_ids"),
-        (F.size(items) == 0).alias("kept"),
+    return found.select(
+        "doc_id", F.size(items).cast("long").alias("n_items"), items.alias("item_ids"), (F.size(items) == 0).alias("kept")
     )
 
 
