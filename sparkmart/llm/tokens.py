@@ -16,8 +16,9 @@ MEMO_WORDS = 900_000
 #: Fixed values of the tokenizer file: how it cleans a text and splits it into words.
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: Texts of these characters need no normalising but lower case, and the split below equals the tokenizer's.
-_PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ“”‘’–—…«»¿¡€°]*")
+#: Texts of these characters need no normalising but lower case, which keeps letters letters
+#: (of İ it makes two characters), and the split below equals the tokenizer's.
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ“”‘’–—…«»¿¡€°]*")
 _WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ɏ]+|[0-9]|[^\sa-z0-9ß-öø-ɏ]+")
 
 
