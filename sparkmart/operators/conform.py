@@ -6,16 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions import typed
-from sparkmart.schema import MAPPING, RAW_COLUMNS
+from sparkmart.schema import LIMITS, MAPPING, RAW_COLUMNS
 
 
 class ConversionError(ValueError):
     """Raised in strict mode when a row holds a text that does not convert."""
 
 
+def _value(raw: str, data_type: str) -> Column:
+    value = typed(raw, data_type)
+    return F.when(value.between(*LIMITS[raw]), value) if raw in LIMITS else value
+
+
 def _bad(raw: str, data_type: str) -> Column:
     # A missing value (NULL) is no failed conversion; a text that yields NULL is.
-    return F.col(raw).isNotNull() & typed(raw, data_type).isNull()
+    return F.col(raw).isNotNull() & _value(raw, data_type).isNull()
 
 
 _NUMERIC = [(raw, t) for raw, _, t in MAPPING if t != "string"]
@@ -41,7 +46,7 @@ def conform(raw: DataFrame, *keep: str) -> DataFrame:
     Row-local: one projection and one filter fused into the scan, no shuffle.
     Columns named in ``keep`` pass through unchanged.
     """
-    typed_columns = [typed(source, t).alias(name) for source, name, t in MAPPING]
+    typed_columns = [_value(source, t).alias(name) for source, name, t in MAPPING]
     return raw.filter(~_is_reject()).select(*typed_columns, *keep)
 
 
@@ -57,7 +62,7 @@ def land_columns(raw: DataFrame, *keep: str) -> DataFrame:
 
     Lets landing parse the text a single time; ``reject_reason`` tells the two apart.
     """
-    typed_columns = [typed(source, t).alias(name) for source, name, t in MAPPING]
+    typed_columns = [_value(source, t).alias(name) for source, name, t in MAPPING]
     received = F.when(_is_reject(), F.struct(*RAW_COLUMNS))
     return raw.select(
         *typed_columns, reject_reason().alias("reject_reason"), received.alias("received"), *keep

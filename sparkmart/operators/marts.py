@@ -59,7 +59,7 @@ def model_trend(fact: DataFrame, dim_model: DataFrame, dim_date: DataFrame) -> D
 
 
 def revenue_growth(fact: DataFrame, dim_branch: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Yearly revenue per branch, the year before, and the relative change.
+    """Yearly revenue per branch, the year before (NULL without sales then), and the relative change.
 
     The window runs over a handful of years per branch, after all aggregation.
     """
@@ -70,7 +70,8 @@ def revenue_growth(fact: DataFrame, dim_branch: DataFrame, dim_date: DataFrame)
         .agg(F.sum("Revenue").alias("Revenue"))
         .join(dim_branch, DIM_BRANCH.sk, "left")
     )
-    previous = F.lag("Revenue").over(Window.partitionBy("Branch_ID").orderBy("Year"))
+    by_year = Window.partitionBy("Branch_ID").orderBy("Year")
+    previous = F.when(F.lag("Year").over(by_year) == F.col("Year") - 1, F.lag("Revenue").over(by_year))
     change = F.try_divide(F.col("Revenue") - F.col("previous_revenue"), F.col("previous_revenue"))
     return (
         yearly.withColumn("previous_revenue", previous)

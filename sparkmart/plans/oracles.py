@@ -192,7 +192,7 @@ def _integrity(spec: DimSpec, column: str) -> str:
     return (
         f"select '{spec.name}' as dim_name, '{column}' as column_name, count(*) as n_rows,"
         f" count(*) filter ({column} is null) as n_null,"
-        f" count(*) - count(distinct {column}) as n_repeated from {_TAG[spec]}d2"
+        f" count({column}) - count(distinct {column}) as n_repeated from {_TAG[spec]}d2"
     )
 
 
@@ -338,7 +338,8 @@ from silver group by model_category, Year, Month""",
         SALES,
         """yearly as (select Branch_ID, Branch_Name, Year, cast(sum(Revenue) as bigint) as Revenue
   from sales group by Branch_ID, Branch_Name, Year)""",
-        """lagged as (select *, lag(Revenue) over (partition by Branch_ID order by Year) as previous_revenue
+        """lagged as (select *, case when lag(Year) over (partition by Branch_ID order by Year) = Year - 1
+    then lag(Revenue) over (partition by Branch_ID order by Year) end as previous_revenue
   from yearly)""",
     )
     + """select Branch_ID, Branch_Name, Year, Revenue, previous_revenue,

@@ -37,6 +37,9 @@ MAPPING = (
     ("Product_Name", "Product_Name", "string"),
 )
 
+#: Raw columns whose sink type, an unsigned byte, is narrower than the Spark type here.
+LIMITS = {"Day": (0, 255), "Month": (0, 255)}
+
 DATE_ID_PATTERN = "^DT[0-9]{5}$"
 WHOLE_NUMBER = "^ *[+-]?[0-9]+ *$"
 

@@ -7,6 +7,7 @@ size, so Spark's own size check decides which joins broadcast.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -22,7 +23,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkmart-"))
     return spark.sparkContext.getCheckpointDir()

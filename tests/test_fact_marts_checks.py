@@ -125,3 +125,18 @@ def test_date_code_with_two_days_is_reported(spark):
     rows = [("DT01246", 28, 5, 2020), ("DT01246", 30, 5, 2020), ("DT01247", 31, 5, 2020)]
     df = spark.createDataFrame(rows, "Date_ID string, Day smallint, Month smallint, Year smallint")
     assert tuples(checks.dq_date_id(df)) == [("DT01246", 2)]
+
+
+def test_growth_needs_the_year_before(spark):
+    fact = spark.createDataFrame([(100, 1, 1), (300, 1, 2), (150, 1, 3)], "Revenue long, dim_branch_key long, dim_date_key long")
+    branch = spark.createDataFrame([("B", "North", 1)], "Branch_ID string, Branch_Name string, dim_branch_key long")
+    dates = spark.createDataFrame([(1, 2019), (2, 2021), (3, 2022)], "dim_date_key long, Year short")
+    rows = marts.revenue_growth(fact, branch, dates).orderBy("Year").collect()
+    assert [(r.Year, r.previous_revenue, r.growth) for r in rows] == [(2019, None, None), (2021, None, None), (2022, 300, -0.5)]
+
+
+def test_key_integrity_counts_rows_beyond_the_first(spark):
+    dim = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 3), (None, 4)], "Branch_ID string, dim_branch_key long")
+    rows = {r.column_name: r for r in checks.dq_key_integrity({"dim_branch": dim}).collect()}
+    assert rows["Branch_ID"].n_repeated == 2 and rows["Branch_ID"].n_null == 2
+    assert rows["dim_branch_key"].n_repeated == 1

@@ -112,3 +112,11 @@ def test_parquet_path_and_catalog_scans(spark, tmp_path):
 def test_jdbc_reader_needs_a_driver(spark):
     with pytest.raises(Exception, match="(?i)driver"):
         read_jdbc(spark, "jdbc:nothing:here", "dbo.source", ("Date_ID", "0", "9", 4))
+
+
+def test_day_and_month_beyond_a_byte_are_rejected(spark):
+    from sparkmart.operators.conform import rejects
+
+    good = BATCH_1[0]
+    rows = [changed(good, Day="255"), changed(good, Day="256"), changed(good, Month="-1"), changed(good, Month="300")]
+    assert sorted(r.reject_reason for r in rejects(raw(spark, rows)).collect()) == ["Day", "Month", "Month"]
