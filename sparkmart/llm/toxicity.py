@@ -37,8 +37,8 @@ _EDGES = ".,;:!?\"'()[]{}«»“”‘’…-–—"
 @dataclass(frozen=True)
 class Settings:
     #: Labelled texts to learn from, by class; the only bound on what is learnt from.
-    toxic_rows: int = 1500
-    clean_rows: int = 3000
+    toxic_rows: int = 1000
+    clean_rows: int = 2000
     buckets: int = 1 << 17
     dim: int = 8
     shortest: int = 3
