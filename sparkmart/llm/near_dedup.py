@@ -5,8 +5,8 @@ class and represented once. A class has a signature of minima; each of ``TREES``
 orders takes its values from another place on, so that classes with a long common prefix
 become neighbours. Classes that share ``ROOT`` values of an order are a region. In regions
 of up to ``REGION`` classes all pairs are candidates; larger ones are divided at the next
-value, and so on, while each class also meets its next neighbours and the hub of its
-region, the class at its most frequent values. At similarity 0.75 two classes miss each
+value, and so on, down to parts of ``PART`` classes, while each class also meets its next
+neighbour and the hub of its region, the class at its most frequent values. At similarity 0.75 two classes miss each
 other in all orders with probability below 3e-6 (undivided regions).
 
 Candidates form components. Within one, pairs are confirmed on the full sets unless they
@@ -36,7 +36,7 @@ from sparkmart.llm.common import fresh, numbered, record_batches, written
 from sparkmart.llm.components import Union, components
 
 SHINGLE, PERCENT = 5, 75
-TREES, ROOT, DEPTH, REGION, NEIGHBOURS = 24, 3, 6, 32, 2
+TREES, ROOT, DEPTH, REGION, PART, NEIGHBOURS = 24, 3, 6, 32, 4, 1
 #: Shingles of a component that a task confirms by itself, 8 bytes each.
 TASK_SHINGLES = 6_000_000
 _CHUNK = 1 << 18
@@ -139,7 +139,8 @@ def candidates(tree: np.ndarray, label: np.ndarray, rep: np.ndarray, n: np.ndarr
     open_ = size > 1
     for depth in range(ROOT, DEPTH + 1):
         part = np.cumsum(_starts(label, tree, depth)) - 1
-        small = open_ & (np.bincount(part)[part] <= REGION)
+        # Parts of a divided region only have to connect it; what they miss is looked up later.
+        small = open_ & (np.bincount(part)[part] <= (REGION if depth == ROOT else PART))
         for step in range(1, REGION):
             near = np.flatnonzero(small[:-step] & (part[:-step] == part[step:]))
             if not len(near):
