@@ -65,9 +65,11 @@ class Encoder:
         if not self._by_word or not _PLAIN.fullmatch(text) or any(s in text for s in self._special):
             return self._whole(text)
         words = text.split()
-        if new := set(words).difference(self._memo):
-            self._learn(words, new)
-        return b"".join(map(self._memo.__getitem__, words))
+        found = list(map(self._memo.get, words))
+        if None in found:
+            self._learn(words, {w for w, ids in zip(words, found) if ids is None})
+            found = map(self._memo.__getitem__, words)
+        return b"".join(found)
 
     def _learn(self, words: list[str], new: set[str]) -> None:
         memo, known = self._memo, self._parts
