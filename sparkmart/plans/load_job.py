@@ -6,6 +6,8 @@ attempt left there, so a step or the whole run can simply be started again.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
@@ -13,13 +15,14 @@ from contextvars import copy_context
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from sparkmart.operators import checks, conform, extract, fact, silver
 from sparkmart.operators.dims import empty_dim, load_dim
 from sparkmart.schema import (
     BRONZE,
     BRONZE_COLUMNS,
+    CORRUPT,
     DIMS,
     FACT,
     FACT_COLUMNS,
@@ -29,7 +32,7 @@ from sparkmart.schema import (
     SILVER_COLUMNS,
     DimSpec,
 )
-from sparkmart.sources.files import read_raw_sales, with_file_name
+from sparkmart.sources.files import read_raw_sales, with_source
 from sparkmart.sources.staging import stage, staging_area
 from sparkmart.sources.store import Store
 
@@ -52,17 +55,28 @@ def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], object]]) ->
 
 
 def write_landed(store: Store, raw: DataFrame) -> None:
-    """Typed rows and rejects in one pass, in one folder per source file."""
-    landed = conform.land_columns(with_file_name(raw), "source_file")
+    """Typed rows and rejects in one pass, in one folder per full path of a source file."""
+    landed = conform.land_columns(with_source(raw), "source_path", "source_file")
     store.write_partitions(landed, SOURCE_TABLE, ["source_file"])
 
 
 def land(store: Store, path: str, strict: bool = False) -> None:
-    """Appends a delimited file to the source table; the same file again replaces itself."""
-    raw = read_raw_sales(store.spark, path)
+    """Appends a delimited file to the source table; the same file again replaces itself.
+
+    A file is known by its full path. One that is landed again without a row loses those it had.
+    """
+    raw = read_raw_sales(store.spark, path, corrupt=CORRUPT)
     if strict:
         conform.require_clean(raw)
+    # The list of files writes local paths with three slashes, the metadata column with one.
+    paths = [re.sub("^file:/+", "file:/", f) for f in raw.inputFiles()]
+    again = {hashlib.md5(p.encode()).hexdigest() for p in paths}
+    again &= set(store.partition_values(SOURCE_TABLE, "source_file"))
     write_landed(store, raw)
+    if again:
+        found = with_source(raw).select("source_file").where(F.col("source_file").isin(*again))
+        for name in again - {row[0] for row in found.distinct().collect()}:
+            store.drop(f"{SOURCE_TABLE}/source_file={name}")
 
 
 def source_table(store: Store) -> DataFrame:
@@ -77,11 +91,32 @@ def rejected_rows(store: Store) -> DataFrame:
     return landed.filter(F.col("reject_reason").isNotNull()).select("received.*", "reject_reason")
 
 
+def malformed_rows(store: Store) -> DataFrame:
+    """(source_path, raw_text) of landed rows with too few, too many or broken fields."""
+    landed = store.read_partitions(SOURCE_TABLE, LANDED)
+    return landed.filter(F.col("raw_text").isNotNull()).select("source_path", "raw_text")
+
+
+def landing_accounts(store: Store) -> DataFrame:
+    """Per landed file: rows received, accepted and rejected, and accepted rows above the bound
+    reached, which the next extract takes."""
+    landed = store.read_partitions(SOURCE_TABLE, LANDED)
+    good = F.col("reject_reason").isNull()
+    lo = extract.last_load(store.read_state("bronze"))
+    return landed.groupBy("source_path").agg(
+        F.count(F.lit(1)).alias("n_received"),
+        F.count_if(good).alias("n_accepted"),
+        F.count_if(~good).alias("n_rejected"),
+        F.count_if(good & (F.col("Date_ID") > F.lit(lo))).alias("n_open"),
+    )
+
+
 def late_rows(store: Store, *file_names: str) -> DataFrame:
-    """Count of rows in these landed files that lie at or below the bound reached so far."""
-    schema = StructType([*LANDED.fields, StructField("source_file", StringType())])
-    landed = store.read_partitions(SOURCE_TABLE, schema)
-    landed = landed.filter(F.col("source_file").isin(*file_names))
+    """Count of rows in these landed files (names, or full paths as stored) that lie at or below
+    the bound reached so far."""
+    landed = store.read_partitions(SOURCE_TABLE, LANDED)
+    name = F.substring_index("source_path", "/", -1)
+    landed = landed.filter(name.isin(*file_names) | F.col("source_path").isin(*file_names))
     landed = landed.filter(F.col("reject_reason").isNull())
     return extract.late_rows(landed, extract.last_load(store.read_state("bronze")))
 
@@ -143,7 +178,10 @@ def _write_fact_grain(store: Store, rows: DataFrame, increment: DataFrame, anew:
     number = F.col("Year") * 100 + F.col("Month")
     # Calendar months, so a short list; the filter below then prunes folders.
     months = [r[0] for r in increment.select(number).distinct().collect()]
-    touched = store.read_partitions("fact_grain", GRAIN).filter(number.isin(months))
+    known = number.isin([m for m in months if m is not None])
+    touched = store.read_partitions("fact_grain", GRAIN)
+    # Rows without month or year lie in folders of their own; those are rewritten as well.
+    touched = touched.filter(known | number.isNull() if None in months else known)
     merged = fact.upsert_fact(touched, grain).hint("rebalance", *MONTH)
     store.write_partitions(merged, "fact_grain", MONTH)
 
@@ -171,15 +209,16 @@ def transform(store: Store, mode: str = "incremental", fact_mode: str = "rows")
         # Facts of the other mode would keep keys of dimensions that are rebuilt now.
         store.drop({"rows": "fact_grain", "grain": "fact_sales"}[fact_mode])
     with staging_area(store.spark):
-        _transform_window(store, lo, anew, fact_mode)
+        _transform_window(store, lo, hi, anew, fact_mode)
     store.write_state(_state_row(store.spark, hi), "gold")
     for spec in DIMS:
         store.drop_old_versions(spec.name)
     return True
 
 
-def _transform_window(store: Store, lo: str, anew: bool, fact_mode: str) -> None:
-    bronze = store.read_loads("bronze", BRONZE, since=lo)
+def _transform_window(store: Store, lo: str, hi: str, anew: bool, fact_mode: str) -> None:
+    # A load that starts at the state was broken off; the next extract writes it again.
+    bronze = store.read_loads("bronze", BRONZE, since=lo, before=hi)
     cleaned = silver.enrich(silver.standardise(bronze)).select(*SILVER_COLUMNS)
     if anew:
         store.write_loads_anew(cleaned, "silver")

@@ -48,6 +48,9 @@ NATURAL_KEYS = ("Branch_ID", "Dealer_ID", "Model_ID", "Date_ID")
 
 _TYPES = {"string": T.StringType(), "bigint": T.LongType(), "smallint": T.ShortType()}
 
+#: Column with the text of a row that has too few, too many or broken fields.
+CORRUPT = "_corrupt_row"
+
 RAW = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 BRONZE = T.StructType([T.StructField(name, _TYPES[t]) for _, name, t in MAPPING])
 BRONZE_COLUMNS = tuple(BRONZE.names)
@@ -56,6 +59,8 @@ LANDED = T.StructType(
         *BRONZE.fields,
         T.StructField("reject_reason", T.StringType()),
         T.StructField("received", RAW),
+        T.StructField("raw_text", T.StringType()),
+        T.StructField("source_path", T.StringType()),
     ]
 )
 SILVER = T.StructType(

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sparkmart.schema import RAW
 
@@ -14,18 +14,31 @@ from sparkmart.schema import RAW
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": "\\", "enforceSchema": "false"}
 
 
-def read_raw_sales(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_raw_sales(
+    spark: SparkSession, path: str, multi_line: bool = False, corrupt: str | None = None
+) -> DataFrame:
     """Delimited sales file(s), all twelve columns as text.
 
+    ``corrupt`` names one more column: the text of rows that do not have twelve fields.
+
     With ``enforceSchema`` off a file whose header differs is an error, not shifted data.
     ``multi_line`` allows line breaks inside quotes, but then a file is one task.
     """
-    return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(RAW).csv(path)
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
+    if corrupt is None:
+        return reader.schema(RAW).csv(path)
+    return reader.option("columnNameOfCorruptRecord", corrupt).schema(with_corrupt(corrupt)).csv(path)
+
+
+def with_corrupt(name: str) -> StructType:
+    """The raw layout and a column for rows that do not fit it."""
+    return StructType([*RAW.fields, StructField(name, StringType())])
 
 
-def with_file_name(raw: DataFrame) -> DataFrame:
-    """Adds the name of the file each row came from."""
-    return raw.withColumn("source_file", F.col("_metadata.file_name"))
+def with_source(raw: DataFrame) -> DataFrame:
+    """Adds the full path of the file each row came from, and a folder name made of it."""
+    path = F.col("_metadata.file_path")
+    return raw.withColumns({"source_path": path, "source_file": F.md5(path.cast("binary"))})
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -64,11 +64,15 @@ class Store:
         path = self.path(table)
         self._fs(path).delete(self._hadoop_path(path), True)
 
-    def read_loads(self, table: str, schema: StructType, since: str | None = None) -> DataFrame:
-        """All loads, or those that start at ``since`` or later (only those are listed)."""
+    def read_loads(
+        self, table: str, schema: StructType, since: str | None = None, before: str | None = None
+    ) -> DataFrame:
+        """All loads, or those that start at ``since`` or later and below ``before``."""
         loads = [n[5:] for n in self._children(self.path(table)) if n.startswith("load=")]
         if since is not None:
             loads = [n for n in loads if n >= load_id(since)]
+        if before is not None:
+            loads = [n for n in loads if n < before]
         if not loads:
             return empty_table(self.spark, schema)
         folders = [f"{self.path(table)}/load={n}" for n in sorted(loads)]
@@ -86,6 +90,11 @@ class Store:
             .parquet(self.path(table))
         )
 
+    def partition_values(self, table: str, column: str) -> list[str]:
+        """Values of the partition column that have a folder."""
+        names = self._children(self.path(table))
+        return [n[len(column) + 1 :] for n in names if n.startswith(f"{column}=")]
+
     def read_partitions(self, table: str, schema: StructType) -> DataFrame:
         if not self.exists(self.path(table)):
             return empty_table(self.spark, schema)

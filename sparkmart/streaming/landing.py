@@ -8,14 +8,15 @@ the folders of its own files.
 from __future__ import annotations
 
 from sparkmart.plans.load_job import write_landed
-from sparkmart.schema import RAW
-from sparkmart.sources.files import CSV_OPTIONS
+from sparkmart.schema import CORRUPT
+from sparkmart.sources.files import CSV_OPTIONS, with_corrupt
 from sparkmart.sources.store import Store
 
 
 def land_new_files(store: Store, folder: str) -> None:
     """Lands every delimited file in ``folder`` that was not landed before."""
-    raw = store.spark.readStream.options(**CSV_OPTIONS).schema(RAW).csv(folder)
+    reader = store.spark.readStream.options(**CSV_OPTIONS, columnNameOfCorruptRecord=CORRUPT)
+    raw = reader.schema(with_corrupt(CORRUPT)).csv(folder)
     query = (
         raw.selectExpr("*", "_metadata")
         .writeStream.foreachBatch(lambda batch, _: write_landed(store, batch))

@@ -120,3 +120,35 @@ def test_day_and_month_beyond_a_byte_are_rejected(spark):
     good = BATCH_1[0]
     rows = [changed(good, Day="255"), changed(good, Day="256"), changed(good, Month="-1"), changed(good, Month="300")]
     assert sorted(r.reject_reason for r in rejects(raw(spark, rows)).collect()) == ["Day", "Month", "Month"]
+
+
+def test_files_of_equal_names_in_two_folders_both_land(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    for folder, rows in (("a", BATCH_1), ("b", BATCH_2)):
+        (tmp_path / folder).mkdir()
+        load_job.land(store, write_csv(tmp_path / folder / "sales.csv", rows))
+    assert load_job.source_table(store).count() == 7
+    # emptied at the source and landed again
+    load_job.land(store, write_csv(tmp_path / "b" / "sales.csv", []))
+    assert load_job.source_table(store).count() == 4
+
+
+def test_rows_without_a_well_formed_date_code_are_rejects(spark, tmp_path):
+    good = BATCH_1[0]
+    codes = ["dt00001", " DT00001 ", "", "DT1", None]
+    store = Store(spark, str(tmp_path / "store"))
+    path = write_csv(tmp_path / "a.csv", [good, *[changed(good, Date_ID=c) for c in codes]])
+    load_job.land(store, path)
+    assert tuples(load_job.source_table(store), "Date_ID") == [("DT00001",), ("DT00001",)]
+    assert tuples(load_job.rejected_rows(store), "reject_reason") == [("Date_ID",)] * 4
+    assert tuples(load_job.landing_accounts(store).drop("source_path")) == [(6, 2, 4, 2)]
+
+
+def test_short_and_long_rows_are_rejects_with_their_text(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    path = write_csv(tmp_path / "a.csv", [BATCH_1[0], BATCH_1[1][:8], (*BATCH_1[2], "x", "y")])
+    load_job.land(store, path)
+    assert load_job.source_table(store).count() == 1
+    assert tuples(load_job.rejected_rows(store), "reject_reason") == [("malformed row",)] * 2
+    texts = [t for (t,) in tuples(load_job.malformed_rows(store), "raw_text")]
+    assert sorted(t.split(",")[0] for t in texts) == ["BR0001", "BR0002"]

@@ -233,3 +233,31 @@ def test_sums_survive_any_split_into_loads(spark, tmp_path, files):
         for df in (load_job.gold(whole)["fact_sales"], load_job.gold(split)["fact_sales"], source)
     ]
     assert totals[0] == totals[1] == totals[2]
+
+
+def test_rebuild_leaves_out_a_load_that_was_broken_off(spark, tmp_path, files, monkeypatch):
+    root = str(tmp_path / "store")
+    store = load_job.run(spark, root, [files[0]])
+    load_job.land(store, files[1])
+
+    def crash(*_):
+        raise RuntimeError("lost before the state was written")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Store, "write_state", crash)
+        with pytest.raises(RuntimeError):
+            load_job.extract_increment(store, load_job.source_table(store))
+    load_job.transform(store, mode="initial")
+    assert load_job.gold(store)["fact_sales"].count() == 4
+    load_job.run(spark, root)
+    assert load_job.gold(store)["fact_sales"].count() == 6
+
+
+def test_grain_mode_keeps_rows_without_month(spark, tmp_path):
+    store = None
+    for n, code in enumerate(("DT00001", "DT00002")):
+        row = list(BATCH_1[0])
+        row[5], row[7] = code, None
+        path = write_csv(tmp_path / f"{n}.csv", [tuple(row)])
+        store = load_job.run(spark, str(tmp_path / "store"), [path], fact_mode="grain")
+    assert store.read_partitions("fact_grain", load_job.GRAIN).count() == 2
