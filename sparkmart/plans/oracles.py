@@ -213,6 +213,16 @@ ORACLES: dict[str, str] = {
 from sales where {_ANY_BAD}""",
     "csv_landing_rejects": _with(SALES)
     + f"select {_REASON} as reject_reason, count(*) as n_rows from sales where {_ANY_BAD} group by 1",
+    "landing_accounts": _with(SALES)
+    + ", checked as ("
+    + " union all ".join(
+        f"""select '{folder}' as folder, Date_ID, {bad} as bad from sales"""
+        for folder, bad in (("a", f"({_ANY_BAD})"), ("b", f"({_ANY_BAD} or o_orderpriority = '5-LOW')"))
+    )
+    + f""") select folder, count(*) as n_received, count(*) filter (not bad) as n_accepted,
+       count(*) filter (bad) as n_rejected,
+       count(*) filter (not bad and Date_ID > '{LOAD_BOUND}') as n_open
+from checked group by folder""",
     "hwm_current": _with(SALES) + "select max(Date_ID) as max_date from sales",
     "hwm_window": _with(SALES)
     + f"select {_BRONZE} from sales where Date_ID > '{LOAD_BOUND}'"

@@ -212,6 +212,25 @@ def csv_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows received, accepted, rejected and still to extract, per folder of landed files.
+
+    Both folders hold bad numbers, the second also date codes that are not well-formed.
+    """
+    store = Store(spark, new_folder(spark))
+    named = dirty_raw_feed(spark, sf_dir).replace({"": "-"}, subset=["Day"])
+    odd = F.when(F.col("DealerName") == "5-LOW", F.lower("Date_ID")).otherwise(F.col("Date_ID"))
+    for folder, feed in (("a", named), ("b", named.withColumn("Date_ID", odd))):
+        _write_csv(feed, store.path(folder))
+        load_job.land(store, store.path(folder))
+    early = load_job.source_table(store).filter(F.col("Date_ID") <= LOAD_BOUND)
+    load_job.extract_increment(store, early)
+    accounts = load_job.landing_accounts(store)
+    folder = F.element_at(F.split("source_path", "/"), -2).alias("folder")
+    counts = ["n_received", "n_accepted", "n_rejected", "n_open"]
+    return accounts.groupBy(folder).agg(*[F.sum(c).alias(c) for c in counts])
+
+
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through the file stream: two arrivals, three starts."""
     store = Store(spark, new_folder(spark))
@@ -544,6 +563,7 @@ QUERIES: dict[str, Query] = {
         conform_rejects,
         csv_landing,
         csv_landing_rejects,
+        landing_accounts,
         stream_landing,
         hwm_current,
         hwm_window,
