@@ -211,6 +211,10 @@ def transform(store: Store, mode: str = "incremental", fact_mode: str = "rows")
     with staging_area(store.spark):
         _transform_window(store, lo, hi, anew, fact_mode)
     store.write_state(_state_row(store.spark, hi), "gold")
+    # Views name version folders, so they follow before an old version goes.
+    database = extract.last_load(store.read_state("published"))
+    if database and store.spark.catalog.databaseExists(database):
+        publish(store, database)
     for spec in DIMS:
         store.drop_old_versions(spec.name)
     return True
@@ -257,8 +261,10 @@ def gold(store: Store) -> dict[str, DataFrame]:
 
 
 def publish(store: Store, database: str = "gold") -> None:
-    """Catalog names for the gold tables that exist."""
+    """Catalog names for the gold tables that exist; later runs keep those of the last database."""
     store.create_database(database)
+    if extract.last_load(store.read_state("published")) != database:
+        store.write_state(_state_row(store.spark, database), "published")
     for spec in DIMS:
         path = store.current_path(spec.name)
         if path is not None:

@@ -261,3 +261,17 @@ def test_grain_mode_keeps_rows_without_month(spark, tmp_path):
         path = write_csv(tmp_path / f"{n}.csv", [tuple(row)])
         store = load_job.run(spark, str(tmp_path / "store"), [path], fact_mode="grain")
     assert store.read_partitions("fact_grain", load_job.GRAIN).count() == 2
+
+
+def test_published_names_follow_later_runs(spark, tmp_path):
+    root, branches = str(tmp_path / "store"), []
+    for n, code in enumerate(("DT00001", "DT00002", "DT00003")):
+        row = list(BATCH_1[0])
+        row[0], row[5] = f"BR000{n}", code
+        store = load_job.run(spark, root, [write_csv(tmp_path / f"{n}.csv", [tuple(row)])])
+        if n == 0:
+            load_job.publish(store, "followed")
+        branches.append(spark.sql("select count(*) from followed.dim_branch").first()[0])
+        assert spark.sql("select count(*) from followed.fact_sales").first()[0] == n + 1
+    assert branches == [1, 2, 3]
+    spark.sql("DROP DATABASE followed CASCADE")
