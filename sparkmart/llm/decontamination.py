@@ -6,7 +6,11 @@ template words are hash-joined with those of the benchmark, so a question is fou
 other numbers or names too. Its slots must then be consistent: along one alignment, each
 value of the item stands for one value of the document and the other way round.
 
-A document leaks an item if it holds at least ``CONTAINMENT`` of the item's windows, or
+Capitals mark names, so a text in upper or title case has hardly a template word that is
+none. So windows are searched a second way too, case-free: names stay lower-cased words, only
+numbers and units are placeholders. A text without names has the same windows either way.
+
+A document leaks an item if, either way, it holds at least ``CONTAINMENT`` of the item's windows, or
 ``LONG_RUN`` of them, and, for items with slots, some alignment is consistent.
 
 * Windows with fewer than ``LITERALS`` words that are no placeholders are not searched, nor are
@@ -28,14 +32,26 @@ CONTAINMENT, LONG_RUN = 0.75, 20
 BROADCAST_WINDOWS = 1_000_000
 
 NUMBER, NAME, UNIT = "0", "1", "2"
+TEMPLATE, CASE_FREE = 0, 1
 _UNITS = "km|cm|mm|m|kg|mg|g|t|ml|l|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|feet|ft|inch(?:es)?|pounds?|lbs?|ounces?|oz|dollars?|euros?|usd|eur|cents?|percent"
 _RAW = r"\p{N}+(?:[.,]\p{N}+)*|\p{L}+"
 
 
 def template(text: Column) -> Column:
     """The template words of a text: placeholders are digits, as no other digit is left."""
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), r"\p{N}+(?:[.,]\p{N}+)*", NUMBER)
-    text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;:]\x20)\p{Lu}\p{L}+", NAME)
+    return _words(F.regexp_replace(_without_numbers(text), r"(?<=[\p{L}\p{N},;:]\x20)\p{Lu}\p{L}+", NAME))
+
+
+def case_free(text: Column) -> Column:
+    """The template words, one for one, but with names as lower-cased words."""
+    return _words(_without_numbers(text))
+
+
+def _without_numbers(text: Column) -> Column:
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"\p{N}+(?:[.,]\p{N}+)*", NUMBER)
+
+
+def _words(text: Column) -> Column:
     text = F.regexp_replace(text, rf"(?<=0|0\x20)(?i:{_UNITS})(?!\p{{L}})", UNIT)
     return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+|[012]"), F.lit(0))
 
@@ -53,42 +69,65 @@ def _windows(words: str) -> Column:
 
 
 def _item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, windows: searched ones of the item, at, hash, template, raw) of each window that is searched."""
-    items = benchmark.select("item_id", template(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"))
-    every = items.select("item_id", "words", "raw", F.posexplode(_windows("words")).alias("at", "hash"))
+    """(item_id, way, at, hash, template, raw) of each window that is searched, ``way`` being ``TEMPLATE`` or ``CASE_FREE``."""
+    text = F.col("text")
+    ways = F.array(
+        F.struct(F.lit(TEMPLATE).alias("way"), template(text).alias("words")),
+        F.struct(F.lit(CASE_FREE).alias("way"), case_free(text).alias("words")),
+    )
+    items = benchmark.select("item_id", raw_words(text).alias("raw"), F.explode(ways).alias("as")).select("item_id", "raw", "as.*")
+    every = items.select("item_id", "way", "words", "raw", F.posexplode(_windows("words")).alias("at", "hash"))
     cut = every.select(
-        "item_id", "at", "hash",
+        "item_id", "way", "at", "hash",
         F.expr(f"slice(words, at + 1, {WIDTH})").alias("template"),
         F.expr(f"slice(raw, at + 1, {WIDTH})").alias("raw"),
     )
     return cut.where(F.expr(f"size(filter(template, w -> w not in ('0', '1', '2'))) >= {LITERALS}"))
 
 
+def _doc_windows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, at, hash) of the windows of both ways, once where they are the same."""
+    words = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), template(F.col("text")).alias("words"))
+    plain = F.when(F.array_contains("words", NAME), case_free(F.col("text"))).otherwise(F.expr("cast(array() as array<string>)"))
+    hashed = words.select("doc_id", "text_hash", "words", plain.alias("plain")).select(
+        "doc_id", "text_hash", _windows("words").alias("one"), _windows("plain").alias("two")
+    )
+    both = F.expr("concat(one, transform(two, (h, i) -> if(h = get(one, i), null, h)))")
+    found = hashed.select("doc_id", "text_hash", F.size("one").alias("n"), F.posexplode(both).alias("place", "hash"))
+    at = F.when(F.col("place") < F.col("n"), F.col("place")).otherwise(F.col("place") - F.col("n"))
+    return found.where("hash is not null").select("doc_id", "text_hash", at.alias("at"), "hash")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, containment, reparameterised) for each item that a document leaks.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; ``text_hash`` is ``xxhash64(text)``.
     """
     item_windows = _item_windows(benchmark)
-    sizes = item_windows.groupBy("item_id").agg(F.count_distinct("hash").alias("item_windows"))
-    search = item_windows.select("hash", "item_id", F.col("at").alias("item_at")).distinct()
+    sizes = item_windows.groupBy("item_id", "way").agg(F.count_distinct("hash").alias("item_windows"))
+    search = item_windows.select("hash", "item_id", "way", F.col("at").alias("item_at")).distinct()
     if search.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
         search = F.broadcast(search)
-    words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), template(F.col("text")).alias("words"))
-    hits = words.select("doc_id", "text_hash", F.posexplode(_windows("words")).alias("at", "hash")).join(search, "hash")
+    hits = _doc_windows(docs).join(search, "hash")
     # Per alignment first, then per document and item; both sums start before the shuffle.
-    aligned = hits.groupBy("doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+    aligned = hits.groupBy("doc_id", "text_hash", "item_id", "way", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set("hash").alias("hashes")
     )
     found = (
-        aligned.groupBy("doc_id", "text_hash", "item_id")
+        aligned.groupBy("doc_id", "text_hash", "item_id", "way")
         .agg(F.array_distinct(F.flatten(F.collect_list("hashes"))).alias("hashes"), F.collect_list("shift").alias("shifts"))
         .withColumn("n_windows", F.size("hashes"))
-        .join(sizes, "item_id")
+        .join(sizes, ["item_id", "way"])
         .withColumn("containment", F.col("n_windows") / F.col("item_windows"))
         .where((F.col("containment") >= CONTAINMENT) | (F.col("n_windows") >= LONG_RUN))
     )
-    return _consistent(found, docs, item_windows)
+    best = F.max(F.struct("containment", "n_windows"))
+    return (
+        _consistent(found, docs, item_windows)
+        .groupBy("doc_id", "text_hash", "item_id")
+        .agg(best.alias("best"), F.min("reparameterised").alias("reparameterised"))
+        .select("doc_id", "text_hash", "item_id", "best.n_windows", "best.containment", "reparameterised")
+    )
 
 
 def _consistent(found: DataFrame, docs: DataFrame, item_windows: DataFrame) -> DataFrame:
@@ -98,11 +137,11 @@ def _consistent(found: DataFrame, docs: DataFrame, item_windows: DataFrame) -> D
     )
     values = (
         item_windows.withColumnRenamed("at", "item_at")
-        .select("item_id", F.explode(slots).alias("slot"))
-        .select("item_id", "slot.*")
+        .select("item_id", "way", F.explode(slots).alias("slot"))
+        .select("item_id", "way", "slot.*")
         .distinct()
     )
-    slotted = found.join(values.select("item_id").distinct(), "item_id", "left_semi")
+    slotted = found.join(values.select("item_id", "way").distinct(), ["item_id", "way"], "left_semi")
     # Only documents that hold an item with slots are read word by word again.
     theirs = docs.select(F.col("doc_id").alias("their_id"), F.xxhash64("text").alias("their_hash"), "text").dropDuplicates(
         ["their_id", "their_hash"]
@@ -110,26 +149,27 @@ def _consistent(found: DataFrame, docs: DataFrame, item_windows: DataFrame) -> D
     same = F.col("doc_id").eqNullSafe(F.col("their_id")) & (F.col("text_hash") == F.col("their_hash"))
     pairs = (
         slotted.join(theirs, same)
-        .select("doc_id", "text_hash", "item_id", raw_words(F.col("text")).alias("words"), F.explode("shifts").alias("shift"))
-        .join(values, "item_id")
-        .select("doc_id", "text_hash", "item_id", "shift", "kind", F.lower("value").alias("item_value"),
+        .select("doc_id", "text_hash", "item_id", "way", raw_words(F.col("text")).alias("words"), F.explode("shifts").alias("shift"))
+        .join(values, ["item_id", "way"])
+        .select("doc_id", "text_hash", "item_id", "way", "shift", "kind", F.lower("value").alias("item_value"),
                 F.lower(F.expr("get(words, place + shift)")).alias("doc_value"))
         .where("doc_value is not null")
         .distinct()
     )
-    one = pairs.groupBy("doc_id", "text_hash", "item_id", "shift").agg(
+    one = pairs.groupBy("doc_id", "text_hash", "item_id", "way", "shift").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("kind", "item_value").alias("item_values"),
         F.count_distinct("kind", "doc_value").alias("doc_values"),
         F.max(F.col("item_value") != F.col("doc_value")).alias("other"),
     )
     judged = one.groupBy(
-        F.col("doc_id").alias("their_id"), F.col("text_hash").alias("their_hash"), F.col("item_id").alias("their_item")
+        F.col("doc_id").alias("their_id"), F.col("text_hash").alias("their_hash"), F.col("item_id").alias("their_item"),
+        F.col("way").alias("their_way"),
     ).agg(
         F.max((F.col("n") == F.col("item_values")) & (F.col("n") == F.col("doc_values"))).alias("consistent"),
         F.min("other").alias("other"),
     )
-    same = same & (F.col("item_id") == F.col("their_item"))
+    same = same & (F.col("item_id") == F.col("their_item")) & (F.col("way") == F.col("their_way"))
     return (
         found.join(judged, same, "left")
         .where(F.coalesce("consistent", F.lit(True)))

@@ -149,6 +149,20 @@ def test_op10_against_whole_items(spark, sf_dir):
     assert sum(bool(v) for v in got.values()) <= 1.2 * sum(any(t in x for t in items.values()) for x in docs.values()) + 1
 
 
+def test_upper_and_title_case(spark):
+    items = spark.createDataFrame([(1, ITEM), (2, "the quick brown fox jumps over a lazy dog near our old stone bridge")], "item_id long, text string")
+    texts = [ITEM, items.collect()[1].text]
+    docs = [(10 * k + n, f"so it was. {f(t)} and then") for n, t in enumerate(texts) for k, f in enumerate((str, str.lower, str.upper, str.title))]
+    wrong = ITEM.upper().replace("ANN BUYS 3", "ANN BUYS 9")
+    docs = spark.createDataFrame([*docs, (99, wrong)], "doc_id long, text string")
+    got = {(r.doc_id, i) for r in decontamination.contaminated(docs, items).collect() for i in r.item_ids}
+    assert got == {(10 * k + n, n + 1) for n in range(2) for k in range(4)}
+
+
+def test_op10_against_whole_items_sf001(spark):
+    test_op10_against_whole_items(spark, "/root/testdata/sf0.01")
+
+
 def test_odd_leaks(spark, odd_docs):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     kept = decontamination.without_leaks(odd_docs, items)
