@@ -3,15 +3,16 @@
 Texts become templates: numbers, units behind them and names (capitalised words inside a
 sentence) turn into typed placeholders, the rest into lower-case words. Windows of five
 template words are hash-joined with those of the benchmark, so a question is found with
-other numbers or names too. Its slots must then be consistent: along one alignment, each
-value of the item stands for one value of the document and the other way round.
+other numbers or names too. Slots must be consistent: along one alignment, within the windows
+that matched there, each value of the item stands for one value of the document and the other
+way round. Windows of other alignments do not count.
 
 Capitals mark names, so a text in upper or title case has hardly a template word that is
 none. So windows are searched a second way too, case-free: names stay lower-cased words, only
 numbers and units are placeholders. A text without names has the same windows either way.
 
 A document leaks an item if, either way, it holds at least ``CONTAINMENT`` of the item's windows, or
-``LONG_RUN`` of them, and, for items with slots, some alignment is consistent.
+``LONG_RUN`` of them, in consistent alignments.
 
 * Windows with fewer than ``LITERALS`` words that are no placeholders are not searched, nor are
   items of fewer than five words. A null or empty text leaks nothing.
@@ -111,15 +112,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = _doc_windows(docs).join(search, "hash")
     # Per alignment first, then per document and item; both sums start before the shuffle.
     aligned = hits.groupBy("doc_id", "text_hash", "item_id", "way", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("hash").alias("hashes")
+        F.collect_set("item_at").alias("places"), F.collect_set("hash").alias("hashes")
     )
-    found = (
+    found = _enough(
         aligned.groupBy("doc_id", "text_hash", "item_id", "way")
-        .agg(F.array_distinct(F.flatten(F.collect_list("hashes"))).alias("hashes"), F.collect_list("shift").alias("shifts"))
-        .withColumn("n_windows", F.size("hashes"))
+        .agg(F.collect_list(F.struct("shift", "places", "hashes")).alias("alignments"))
         .join(sizes, ["item_id", "way"])
-        .withColumn("containment", F.col("n_windows") / F.col("item_windows"))
-        .where((F.col("containment") >= CONTAINMENT) | (F.col("n_windows") >= LONG_RUN))
     )
     best = F.max(F.struct("containment", "n_windows"))
     return (
@@ -130,53 +128,54 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _enough(found: DataFrame) -> DataFrame:
+    """Adds n_windows and containment, and keeps what has enough windows in its alignments."""
+    return (
+        found.withColumn("n_windows", F.size(F.array_distinct(F.flatten("alignments.hashes"))))
+        .withColumn("containment", F.col("n_windows") / F.col("item_windows"))
+        .where((F.col("containment") >= CONTAINMENT) | (F.col("n_windows") >= LONG_RUN))
+    )
+
+
 def _consistent(found: DataFrame, docs: DataFrame, item_windows: DataFrame) -> DataFrame:
-    """Drops what has slots but no alignment whose values correspond one to one."""
+    """Drops the alignments whose values do not correspond one to one, and what has too few windows in the others."""
     slots = F.expr(
-        "filter(transform(template, (w, i) -> named_struct('kind', w, 'place', item_at + i, 'value', raw[i])), s -> s.kind in ('0', '1', '2'))"
+        "filter(transform(template, (w, i) -> named_struct('kind', w, 'place', at + i, 'value', lower(raw[i]))), s -> s.kind in ('0', '1', '2'))"
     )
     values = (
-        item_windows.withColumnRenamed("at", "item_at")
-        .select("item_id", "way", F.explode(slots).alias("slot"))
-        .select("item_id", "way", "slot.*")
-        .distinct()
+        item_windows.groupBy("item_id", "way")
+        .agg(F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"))
+        .where("size(slots) > 0")
     )
-    slotted = found.join(values.select("item_id", "way").distinct(), ["item_id", "way"], "left_semi")
+    slotted = found.join(values, ["item_id", "way"])
     # Only documents that hold an item with slots are read word by word again.
     theirs = docs.select(F.col("doc_id").alias("their_id"), F.xxhash64("text").alias("their_hash"), "text").dropDuplicates(
         ["their_id", "their_hash"]
     )
     same = F.col("doc_id").eqNullSafe(F.col("their_id")) & (F.col("text_hash") == F.col("their_hash"))
-    pairs = (
-        slotted.join(theirs, same)
-        .select("doc_id", "text_hash", "item_id", "way", raw_words(F.col("text")).alias("words"), F.explode("shifts").alias("shift"))
-        .join(values, ["item_id", "way"])
-        .select("doc_id", "text_hash", "item_id", "way", "shift", "kind", F.lower("value").alias("item_value"),
-                F.lower(F.expr("get(words, place + shift)")).alias("doc_value"))
-        .where("doc_value is not null")
-        .distinct()
-    )
-    one = pairs.groupBy("doc_id", "text_hash", "item_id", "way", "shift").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct("kind", "item_value").alias("item_values"),
-        F.count_distinct("kind", "doc_value").alias("doc_values"),
-        F.max(F.col("item_value") != F.col("doc_value")).alias("other"),
-    )
-    judged = one.groupBy(
-        F.col("doc_id").alias("their_id"), F.col("text_hash").alias("their_hash"), F.col("item_id").alias("their_item"),
-        F.col("way").alias("their_way"),
-    ).agg(
-        F.max((F.col("n") == F.col("item_values")) & (F.col("n") == F.col("doc_values"))).alias("consistent"),
-        F.min("other").alias("other"),
-    )
-    same = same & (F.col("item_id") == F.col("their_item")) & (F.col("way") == F.col("their_way"))
-    return (
-        found.join(judged, same, "left")
-        .where(F.coalesce("consistent", F.lit(True)))
-        .select(
-            "doc_id", "text_hash", "item_id", "n_windows", "containment",
-            F.coalesce("other", F.lit(False)).alias("reparameterised"),
-        )
+    read = slotted.join(theirs, same).withColumn("words", raw_words(F.col("text")))
+    # Values as hashes: of the item's, of the document's, and of the two together.
+    judged = F.expr(
+        f"""transform(alignments, a -> struct(a.shift, a.places, a.hashes, transform(
+            filter(slots, s -> exists(a.places, p -> s.place between p and p + {WIDTH - 1})),
+            s -> struct(xxhash64(s.kind, s.value) as item, xxhash64(s.kind, lower(get(words, s.place + a.shift))) as doc)) as pairs))"""
+    )
+    one_to_one = F.expr(
+        """filter(judged, a -> size(array_distinct(transform(a.pairs, p -> xxhash64(p.item, p.doc)))) = size(array_distinct(a.pairs.item))
+            and size(array_distinct(a.pairs.item)) = size(array_distinct(a.pairs.doc)))"""
+    )
+    kept = _enough(
+        read.select("doc_id", "text_hash", "item_id", "way", "item_windows", judged.alias("judged"))
+        .select("doc_id", "text_hash", "item_id", "way", "item_windows", one_to_one.alias("alignments"))
+    )
+    columns = ("doc_id", "text_hash", "item_id", "way", "n_windows", "containment")
+    other = F.expr(
+        """exists(alignments, a -> size(a.hashes) = array_max(transform(alignments, b -> size(b.hashes)))
+            and exists(a.pairs, p -> p.item <> p.doc))"""
+    )
+    plain = found.join(values.select("item_id", "way"), ["item_id", "way"], "left_anti")
+    return plain.select(*columns, F.lit(False).alias("reparameterised")).unionByName(
+        kept.select(*columns, other.alias("reparameterised"))
     )
 
 

@@ -159,6 +159,24 @@ def test_upper_and_title_case(spark):
     assert got == {(10 * k + n, n + 1) for n in range(2) for k in range(4)}
 
 
+def test_slots_of_what_matched(spark):
+    words = (
+        "If Tom buys 3 apples at 2 dollars and our neighbour Ann buys 3 pears on a warm day in spring"
+        " then how much money does our friend Tom pay in total for apples"
+    ).split()
+    whole = " ".join(words)
+    longer = whole + " and what would he pay, if Ann and Tom gave 2 of all 3 apples, 3 pears and 2 plums back to Ann before the market closed?"
+    items = spark.createDataFrame([(1, whole), (2, longer)], "item_id long, text string")
+    docs = [
+        (1, " ".join([*words[:13], "really", *words[13:]])),
+        (2, whole + ". This has 7 other ends, and John says 9 things on 4 days here, 5 there, as Mary saw Jim with Sue in town."),
+        (3, whole.replace("friend Tom", "friend Jim").replace("buys 3 pears", "buys 9 pears")),
+    ]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: set(r.item_ids) for r in decontamination.contaminated(docs, items).collect()}
+    assert 1 in got[1] and got[2] == {1, 2} and 3 not in got
+
+
 def test_op10_against_whole_items_sf001(spark):
     test_op10_against_whole_items(spark, "/root/testdata/sf0.01")
 
