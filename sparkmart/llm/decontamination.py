@@ -14,8 +14,10 @@ numbers and units are placeholders. A text without names has the same windows ei
 A document leaks an item if, either way, it holds at least ``CONTAINMENT`` of the item's windows, or
 ``LONG_RUN`` of them, in consistent alignments.
 
-* Windows with fewer than ``LITERALS`` words that are no placeholders are not searched, nor are
-  items of fewer than five words. A null or empty text leaks nothing.
+* Windows with fewer than ``LITERALS`` words that are no placeholders are searched with their
+  lower-cased words and numbers as they are, case-free only. An item of fewer than five words is
+  one such window, so each text that holds it leaks it, even where it is a single word.
+* A null or empty text leaks nothing.
 * Equal rows get equal verdicts; null ids are kept apart by their texts. Empty tables of
   documents or items are fine. Other columns are not read, whatever their names.
 """
@@ -62,13 +64,21 @@ def raw_words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_RAW), F.lit(0))
 
 
-def _windows(words: str) -> Column:
+def _windows(words: str, raw: str = "") -> Column:
+    """Hashes of all windows; with ``raw``, which may be empty, those of few literals have the hash of their raw words."""
+    literal = f"xxhash64(slice({words}, i, {WIDTH}))"
+    few = f"size(filter(slice({words}, i, {WIDTH}), w -> w in ('0', '1', '2'))) > {WIDTH - LITERALS}"
+    either = f"if(size({raw}) > 0 and {few}, xxhash64(1, slice({raw}, i, {WIDTH})), {literal})" if raw else literal
     return F.expr(
         f"if(size({words}) < {WIDTH}, cast(array() as array<bigint>), "
-        f"transform(sequence(1, size({words}) - {WIDTH - 1}), i -> xxhash64(slice({words}, i, {WIDTH}))))"
+        f"transform(sequence(1, size({words}) - {WIDTH - 1}), i -> {either}))"
     )
 
 
+def _lower_raw(text: Column) -> Column:
+    return raw_words(F.lower(text))
+
+
 def _item_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, way, at, hash, template, raw) of each window that is searched, ``way`` being ``TEMPLATE`` or ``CASE_FREE``."""
     text = F.col("text")
@@ -76,27 +86,42 @@ def _item_windows(benchmark: DataFrame) -> DataFrame:
         F.struct(F.lit(TEMPLATE).alias("way"), template(text).alias("words")),
         F.struct(F.lit(CASE_FREE).alias("way"), case_free(text).alias("words")),
     )
-    items = benchmark.select("item_id", raw_words(text).alias("raw"), F.explode(ways).alias("as")).select("item_id", "raw", "as.*")
-    every = items.select("item_id", "way", "words", "raw", F.posexplode(_windows("words")).alias("at", "hash"))
+    items = benchmark.select("item_id", _lower_raw(text).alias("raw"), F.explode(ways).alias("as")).select("item_id", "raw", "as.*")
+    exact = F.when(F.size("raw").between(1, WIDTH - 1), F.array(F.expr("xxhash64(1, raw)"))).otherwise(_windows("words", "raw"))
+    hashes = F.when(F.col("way") == CASE_FREE, exact).otherwise(_windows("words"))
+    every = items.select("item_id", "way", "words", "raw", F.posexplode(hashes).alias("at", "hash"))
     cut = every.select(
         "item_id", "way", "at", "hash",
         F.expr(f"slice(words, at + 1, {WIDTH})").alias("template"),
         F.expr(f"slice(raw, at + 1, {WIDTH})").alias("raw"),
     )
-    return cut.where(F.expr(f"size(filter(template, w -> w not in ('0', '1', '2'))) >= {LITERALS}"))
+    enough = F.expr(f"size(filter(template, w -> w not in ('0', '1', '2'))) >= {LITERALS}")
+    return cut.where((F.col("way") == CASE_FREE) | enough)
 
 
-def _doc_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, at, hash) of the windows of both ways, once where they are the same."""
-    words = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), template(F.col("text")).alias("words"))
-    plain = F.when(F.array_contains("words", NAME), case_free(F.col("text"))).otherwise(F.expr("cast(array() as array<string>)"))
-    hashed = words.select("doc_id", "text_hash", "words", plain.alias("plain")).select(
-        "doc_id", "text_hash", _windows("words").alias("one"), _windows("plain").alias("two")
+def _doc_windows(docs: DataFrame, short: list[int]) -> DataFrame:
+    """(doc_id, text_hash, at, hash) of the windows of both ways, once where they are the same, and of all of ``short`` words."""
+    text, none = F.col("text"), F.expr("cast(array() as array<string>)")
+    words = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), template(text).alias("words"))
+    plain = words.withColumn("named", F.array_contains("words", NAME)).withColumn(
+        "plain", F.when(F.col("named"), case_free(text)).otherwise(F.col("words"))
     )
+    many = F.expr(f"size(filter(plain, w -> w in ('0', '2'))) > {WIDTH - LITERALS}")
+    raw = plain.withColumn("raw", F.when(many, _lower_raw(text)).otherwise(none))
+    two = F.when(F.col("named") | (F.size("raw") > 0), _windows("plain", "raw")).otherwise(F.expr("cast(array() as array<bigint>)"))
+    hashed = raw.select("doc_id", "text_hash", _windows("words").alias("one"), two.alias("two"))
     both = F.expr("concat(one, transform(two, (h, i) -> if(h = get(one, i), null, h)))")
     found = hashed.select("doc_id", "text_hash", F.size("one").alias("n"), F.posexplode(both).alias("place", "hash"))
     at = F.when(F.col("place") < F.col("n"), F.col("place")).otherwise(F.col("place") - F.col("n"))
-    return found.where("hash is not null").select("doc_id", "text_hash", at.alias("at"), "hash")
+    found = found.where("hash is not null").select("doc_id", "text_hash", at.alias("at"), "hash")
+    for width in short:
+        runs = F.expr(
+            f"if(size(raw) < {width}, cast(array() as array<bigint>), "
+            f"transform(sequence(1, size(raw) - {width - 1}), i -> xxhash64(1, slice(raw, i, {width}))))"
+        )
+        raw = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _lower_raw(text).alias("raw"))
+        found = found.unionByName(raw.select("doc_id", "text_hash", F.posexplode(runs).alias("at", "hash")))
+    return found
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -109,7 +134,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     search = item_windows.select("hash", "item_id", "way", F.col("at").alias("item_at")).distinct()
     if search.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
         search = F.broadcast(search)
-    hits = _doc_windows(docs).join(search, "hash")
+    # At most four rows: the widths of the items that are shorter than a window.
+    widths = benchmark.select(F.size(_lower_raw(F.col("text"))).alias("n")).where(F.col("n").between(1, WIDTH - 1)).distinct()
+    hits = _doc_windows(docs, [r.n for r in widths.collect()]).join(search, "hash")
     # Per alignment first, then per document and item; both sums start before the shuffle.
     aligned = hits.groupBy("doc_id", "text_hash", "item_id", "way", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set("item_at").alias("places"), F.collect_set("hash").alias("hashes")

@@ -177,6 +177,21 @@ def test_slots_of_what_matched(spark):
     assert 1 in got[1] and got[2] == {1, 2} and 3 not in got
 
 
+def test_numbers_and_short_items(spark):
+    sums = "Compute 3 + 4 * 5 - 6 / 7 + 8 and 9 * 10 - 11 = 12 then 13 + 14"
+    german = "der alte Mann las in seiner Zeitung vom Sonntag, Herr Meier, Frau Schmidt, Bruder Hans und Onkel Karl kamen zu Besuch"
+    items = spark.createDataFrame([(1, sums), (2, german), (3, "Name 3 Primes"), (4, "Why?"), (5, ""), (6, "...")], "item_id long, text string")
+    docs = [
+        (1, f"see this: {sums} and more"), (2, sums.upper()), (3, sums.replace("3", "9")), (4, f"x {german}."), (5, german.lower()),
+        (6, "so, name 3 primes"), (7, "name 4 primes"), (8, "Why"), (9, "whys"), (10, ""),
+    ]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontamination.contaminated(docs, items).collect()}
+    assert got == {1: [1], 2: [1], 4: [2], 5: [2], 6: [3], 8: [4]}
+    leaks = decontamination.leaks(docs, items).where("doc_id in (1, 4)").collect()
+    assert [r.containment for r in leaks] == [1.0, 1.0]
+
+
 def test_op10_against_whole_items_sf001(spark):
     test_op10_against_whole_items(spark, "/root/testdata/sf0.01")
 
