@@ -12,7 +12,9 @@ none. So windows are searched a second way too, case-free: names stay lower-case
 numbers and units are placeholders. A text without names has the same windows either way.
 
 A document leaks an item if, either way, it holds at least ``CONTAINMENT`` of the item's windows, or
-``LONG_RUN`` of them, in consistent alignments.
+``LONG_RUN`` of them, in consistent alignments, or if the windows of one consistent alignment
+cover ``COVERED`` of the words that the item's windows cover. The last counts words, as each
+replaced word breaks five windows, which are many of a short item.
 
 * Windows with fewer than ``LITERALS`` words that are no placeholders are searched with their
   lower-cased words and numbers as they are, case-free only. An item of fewer than five words is
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import fresh
 
 WIDTH, LITERALS = 5, 3
-CONTAINMENT, LONG_RUN = 0.75, 20
+CONTAINMENT, LONG_RUN, COVERED = 0.75, 20, 0.75
 #: A benchmark with more windows is joined by shuffle; below, it takes 24 bytes a window in every task.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -130,7 +132,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; ``text_hash`` is ``xxhash64(text)``.
     """
     item_windows = _item_windows(benchmark)
-    sizes = item_windows.groupBy("item_id", "way").agg(F.count_distinct("hash").alias("item_windows"))
+    sizes = item_windows.groupBy("item_id", "way").agg(
+        F.count_distinct("hash").alias("item_windows"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + WIDTH - 1))))).alias("item_words"),
+    )
     search = item_windows.select("hash", "item_id", "way", F.col("at").alias("item_at")).distinct()
     if search.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
         search = F.broadcast(search)
@@ -156,11 +161,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _enough(found: DataFrame) -> DataFrame:
-    """Adds n_windows and containment, and keeps what has enough windows in its alignments."""
+    """Adds n_windows and containment, and keeps what has enough windows in its alignments, or enough words in one."""
+    covered = F.expr(
+        f"array_max(transform(alignments, a -> size(array_distinct(flatten(transform(a.places, p -> sequence(p, p + {WIDTH - 1})))))))"
+    )
     return (
         found.withColumn("n_windows", F.size(F.array_distinct(F.flatten("alignments.hashes"))))
         .withColumn("containment", F.col("n_windows") / F.col("item_windows"))
-        .where((F.col("containment") >= CONTAINMENT) | (F.col("n_windows") >= LONG_RUN))
+        .where((F.col("containment") >= CONTAINMENT) | (F.col("n_windows") >= LONG_RUN) | (covered >= COVERED * F.col("item_words")))
     )
 
 
@@ -192,8 +200,8 @@ def _consistent(found: DataFrame, docs: DataFrame, item_windows: DataFrame) -> D
             and size(array_distinct(a.pairs.item)) = size(array_distinct(a.pairs.doc)))"""
     )
     kept = _enough(
-        read.select("doc_id", "text_hash", "item_id", "way", "item_windows", judged.alias("judged"))
-        .select("doc_id", "text_hash", "item_id", "way", "item_windows", one_to_one.alias("alignments"))
+        read.select("doc_id", "text_hash", "item_id", "way", "item_windows", "item_words", judged.alias("judged"))
+        .select("doc_id", "text_hash", "item_id", "way", "item_windows", "item_words", one_to_one.alias("alignments"))
     )
     columns = ("doc_id", "text_hash", "item_id", "way", "n_windows", "containment")
     other = F.expr(

@@ -192,6 +192,24 @@ def test_numbers_and_short_items(spark):
     assert [r.containment for r in leaks] == [1.0, 1.0]
 
 
+def test_edited_items(spark, sf_dir):
+    """Copies of whole items with words replaced or cut; the least shares are below those measured."""
+    rng = random.Random(8)
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    kinds, docs = ("one", "two", "three", "cut"), []
+    for i, text in items.items():
+        words = text.split()
+        for k, kind in enumerate(kinds):
+            some = rng.sample(range(len(words)), min(k + 1, len(words)))
+            edited = words[: len(words) * 4 // 5] if kind == "cut" else ["xqzo" if n in some else w for n, w in enumerate(words)]
+            docs.append((i * len(kinds) + k, " ".join(edited)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).collect()
+    share = Counter(kinds[r.doc_id % len(kinds)] for r in found if r.doc_id // len(kinds) in r.item_ids)
+    least = {"one": 0.95, "two": 0.85, "three": 0.6, "cut": 0.85}
+    assert {k: share[k] / len(items) for k in kinds if share[k] < least[k] * len(items)} == {}
+
+
 def test_op10_against_whole_items_sf001(spark):
     test_op10_against_whole_items(spark, "/root/testdata/sf0.01")
 
