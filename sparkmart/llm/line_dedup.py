@@ -7,8 +7,12 @@ that many words share one, wherever they begin. Each fingerprint's first place,
 (doc_id, row, line), is joined to its other places; from there the match is extended line
 by line both ways, and the later of the two runs is deleted.
 
-So a run of ``RUN_WORDS`` words that occurred before never stays whole, nothing shorter
-than ``GRAM_WORDS`` is deleted, and every deleted line has an equal line that stays.
+A first place may have other neighbours than a later one, so extension alone can stop early.
+So all windows are looked up as well, also those that are shortest up to a line, and the lines
+of each that occurred before are deleted.
+
+So of a run of ``RUN_WORDS`` words that occurred before all lines go, nothing shorter than
+``GRAM_WORDS`` is deleted, and every deleted line has an equal line before it, so one that stays.
 
 * A null or empty text has no lines and stays as it is; null ids come last in the order.
 * Of equal rows the first keeps its lines. An empty table gives no row.
@@ -74,13 +78,27 @@ def fingerprints(hashes: list[int], words: list[int]) -> list[tuple[int, int]]:
     return sorted(found, key=lambda g: g[1])
 
 
-_LINES = "row long, doc_id long, lines binary, hashes binary, words binary, marks array<struct<gram: bigint, line: int>>"
+def windows(lines: list[int], hashes: list[int], words: list[int]) -> list[tuple[int, int, int]]:
+    """(hash, first line number, last) of each window, and of the shortest run with as many words up to each line.
+
+    The latter hold the last lines of a run, from which no window begins that ends within it.
+    """
+    data, top = np.array(hashes, "<i8").tobytes(), len(words) - 1
+    both = {*enumerate(_run_ends(words, RUN_WORDS)), *((top - b, top - a) for a, b in enumerate(_run_ends(words[::-1], RUN_WORDS)))}
+    return [(_hash(data[8 * a : 8 * b + 8]), lines[a], lines[b]) for a, b in sorted(both)]
+
+
+_LINES = (
+    "row long, doc_id long, lines binary, hashes binary, marks array<struct<gram: bigint, line: int>>, "
+    "windows array<struct<gram: bigint, line: int, last: int>>"
+)
 
 
 def _line_table(rows: DataFrame, row: str) -> DataFrame:
     mark = pa.struct([("gram", pa.int64()), ("line", pa.int32())])
+    window = pa.struct([("gram", pa.int64()), ("line", pa.int32()), ("last", pa.int32())])
     schema = pa.schema(
-        [("row", pa.int64()), ("doc_id", pa.int64()), ("lines", pa.binary()), ("hashes", pa.binary()), ("words", pa.binary()), ("marks", pa.list_(mark))]
+        [("row", pa.int64()), ("doc_id", pa.int64()), ("lines", pa.binary()), ("hashes", pa.binary()), ("marks", pa.list_(mark)), ("windows", pa.list_(window))]
     )
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,8 +108,9 @@ def _line_table(rows: DataFrame, row: str) -> DataFrame:
                     lines, hashes, words = lines_of(text)
                     marks = [{"gram": g, "line": a} for g, a in fingerprints(hashes, words)]
                     if marks:
-                        packed = (np.array(lines, "<i4"), np.array(hashes, "<i8"), np.array(words, "<i4"))
-                        yield number, doc_id, *(p.tobytes() for p in packed), marks
+                        whole = [{"gram": g, "line": a, "last": b} for g, a, b in windows(lines, hashes, words)]
+                        packed = (np.array(lines, "<i4"), np.array(hashes, "<i8"))
+                        yield number, doc_id, *(p.tobytes() for p in packed), marks, whole
 
         return record_batches(table(), schema)
 
@@ -115,6 +134,38 @@ def _extended(own: np.ndarray, other: np.ndarray, at: list[tuple[int, int]]) ->
     return runs
 
 
+def _later(places: DataFrame) -> DataFrame:
+    """``places`` (row, doc_id, gram, line and others) that are not the first of their gram, which is added as ``first``."""
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "line")
+    # Partial minima come before the shuffle, so a gram of a third of all texts is a row of each task.
+    first = places.groupBy("gram").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")).where("places > 1")
+    return places.join(first.select("gram", "first"), "gram").where(
+        (F.col("first.row") != F.col("row")) | (F.col("first.line") != F.col("line"))
+    )
+
+
+def _added(runs: list[tuple], whole: list[tuple]) -> list[tuple]:
+    """``runs`` (first, last, first_doc_id) and those of ``whole`` not within one of them, overlapping ones of a document merged."""
+    # Sorted by start, a run covers another if the furthest end so far does.
+    covers = sorted(runs, key=lambda r: r[0])
+    merged: list[tuple] = []
+    open_: dict[int | None, int] = {}
+    at, furthest = 0, -1
+    for first, last, doc in sorted(whole, key=lambda r: r[:2]):
+        while at < len(covers) and covers[at][0] <= first:
+            furthest = max(furthest, covers[at][1])
+            at += 1
+        if last <= furthest:
+            continue
+        k = open_.get(doc)
+        if k is not None and first <= merged[k][1]:
+            merged[k] = (merged[k][0], max(last, merged[k][1]), doc)
+        else:
+            open_[doc] = len(merged)
+            merged.append((first, last, doc))
+    return sorted({*runs, *merged}, key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0))
+
+
 def repeated_runs(rows: DataFrame, row: str) -> DataFrame:
     """(row, runs: array of (first, last, first_doc_id)) of the rows with lines that occurred before.
 
@@ -123,12 +174,7 @@ def repeated_runs(rows: DataFrame, row: str) -> DataFrame:
     """
     table = _line_table(rows, row)
     marks = table.select("row", "doc_id", F.explode("marks").alias("mark")).select("row", "doc_id", "mark.gram", "mark.line")
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "line")
-    # Partial minima come before the shuffle, so a gram of a third of all texts is a row of each task.
-    first = marks.groupBy("gram").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")).where("places > 1")
-    later = marks.join(first.select("gram", "first"), "gram").where(
-        (F.col("first.row") != F.col("row")) | (F.col("first.line") != F.col("line"))
-    )
+    later = _later(marks)
     # A text has at most one place for each of its lines, so the lists are no longer than it.
     pairs = later.groupBy("row", F.col("first.row").alias("there")).agg(
         F.collect_list(F.struct("line", F.col("first.line").alias("there_line"))).alias("at")
@@ -151,7 +197,27 @@ def repeated_runs(rows: DataFrame, row: str) -> DataFrame:
     found = both.select("row", "first_doc_id", "at", "lines", "hashes", "there_hashes").mapInArrow(
         extend, "row long, first int, last int, first_doc_id long"
     )
-    return found.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("first", "last", "first_doc_id"))).alias("runs"))
+    places = table.select("row", "doc_id", F.explode("windows").alias("window")).select("row", "doc_id", "window.*")
+    whole = _later(places).select("row", F.col("line").alias("first"), "last", F.col("first.doc_id").alias("first_doc_id"))
+    run = F.struct("first", "last", "first_doc_id")
+    # A text has no more runs of each kind than lines.
+    both = found.withColumn("whole", F.lit(False)).unionByName(whole.withColumn("whole", F.lit(True)))
+    lists = both.groupBy("row").agg(
+        F.collect_set(F.when(~F.col("whole"), run)).alias("runs"), F.collect_set(F.when(F.col("whole"), run)).alias("whole")
+    )
+    runs_type = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("first_doc_id", pa.int64())]))
+    merged_schema = pa.schema([("row", pa.int64()), ("runs", runs_type)])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def merged():
+            for batch in batches:
+                for number, runs, more in zip(*(c.to_pylist() for c in batch.columns)):
+                    runs, more = ([(r["first"], r["last"], r["first_doc_id"]) for r in k] for k in (runs, more))
+                    yield number, [dict(zip(("first", "last", "first_doc_id"), r)) for r in _added(runs, more)]
+
+        return record_batches(merged(), merged_schema)
+
+    return lists.mapInArrow(merge, "row long, runs array<struct<first: int, last: int, first_doc_id: bigint>>")
 
 
 def deduplicate(docs: DataFrame) -> tuple[DataFrame, str, str]:

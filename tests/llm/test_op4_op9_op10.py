@@ -106,6 +106,34 @@ def test_line_runs(spark, sf_dir):
     assert all(r.text.startswith("start") and "end" in r.text and "p0x0 " not in r.text for r in planted[3:])
 
 
+def test_all_lines_of_repeated_windows_go(spark):
+    """A common line amid longer passages is first met elsewhere, so extension from its first place stops at once."""
+    rng = random.Random(4)
+
+    def line(n):
+        return " ".join(f"q{rng.randrange(10**9)}" for _ in range(n))
+
+    common = line(42)
+    rows = [(0, f"{line(6)}\n{common}\n{line(6)}")]
+    for n in range(40):
+        passage = "\n".join([line(21), line(22), common, line(21), line(22)])
+        rows += [(1 + 3 * n + k, f"{line(3)}\n{passage}\n{line(3)}") for k in range(3)]
+    rng.shuffle(rows)
+    cut, runs, before = line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    seen, kept = set(), set()
+    for r in sorted(cut.collect(), key=lambda r: r.doc_id):
+        numbers, hashes, words = line_dedup.lines_of(r[before])
+        gone = {k for run in r[runs] for k in range(run.first, run.last + 1)}
+        for a, b in enumerate(line_dedup._run_ends(words, line_dedup.RUN_WORDS)):
+            run = tuple(hashes[a : b + 1])
+            assert run not in seen or gone >= set(numbers[a : b + 1])
+            seen.add(run)
+        for n, h in zip(numbers, hashes):
+            assert n not in gone or h in kept
+            kept |= {h} if n not in gone else set()
+        assert len(r.text.split("\n")) == (3 if r.doc_id == 0 else 2 if (r.doc_id - 1) % 3 else 6)
+
+
 def test_odd_lines(odd_docs):
     cut, runs, _ = line_dedup.deduplicate(odd_docs)
     rows = cut.collect()
