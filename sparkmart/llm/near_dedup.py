@@ -7,14 +7,15 @@ become neighbours. Classes that share ``ROOT`` values of an order are a region.
 of up to ``REGION`` classes all pairs are candidates; larger ones are divided at the next
 value, and so on, down to parts of ``PART`` classes, while each class also meets its next
 neighbour and the hub of its region, the class at its most frequent values. At similarity 0.75 two classes miss each
-other in all orders with probability below 3e-6 (undivided regions).
+other in all orders with probability below 3e-6 (undivided regions; what a divided one misses
+is looked up, as follows).
 
 Candidates form components. Within one, pairs are confirmed on the full sets unless they
 are linked already; where regions were divided, the sets outside the largest group are then
 compared with all others of the component, so no link inside it is lost. Components of more
-than ``TASK_SHINGLES`` have every candidate pair confirmed by joins instead, without that
-second look. So no group is gathered that grows without bound, and the number of pairs
-stays proportional to the number of classes.
+than ``TASK_SHINGLES`` do both by joins: every candidate pair is confirmed, then the sets
+outside the largest group meet all others that share a shingle among the rarest of each, as
+any two linked sets do (``_looked_up``). So no group is gathered that grows without bound.
 
 * A null or empty text, or one without words, has the empty set and is linked with nothing.
 * Rows with equal texts, also equal rows, are one class. A null id counts as larger than all.
@@ -40,6 +41,8 @@ TREES, ROOT, DEPTH, REGION, PART, NEIGHBOURS = 24, 3, 6, 32, 4, 1
 #: Shingles of a component that a task confirms by itself, 8 bytes each.
 TASK_SHINGLES = 6_000_000
 _CHUNK = 1 << 18
+#: Sets that share a frequent shingle are dealt over parts of so many.
+_DEALT = 1000
 
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -259,6 +262,70 @@ def _confirmed_pairs(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.select("u", "v").join(left, "u").join(right, "v").select("u", "v", "left", "right").mapInArrow(confirm, "u long, v long")
 
 
+def _tokens(sets: DataFrame) -> DataFrame:
+    """(node, shingle) of every shingle, one row each."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                values = np.frombuffer(data, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node), pa.int64()), pa.array(values)], names=["node", "shingle"])
+
+    return sets.select("node", "shingles").mapInArrow(spread, "node long, shingle long")
+
+
+def _looked_up(sets: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """The (u, v) that may hold between the groups of ``confirmed`` in a component of ``sets``: a superset of those that do.
+
+    Two linked sets share at least PERCENT of the larger one, and 2 * PERCENT / (100 + PERCENT)
+    of the smaller one. So with shingles in one order, rarest first, the first that they share
+    is near the start of both. One end lies outside the largest group of the component.
+    """
+    grouped = components(confirmed).select("node", F.col("component").alias("group"))
+    nodes = sets.select("component", "node", (F.octet_length("shingles") / 8).cast("long").alias("n"))
+    nodes = nodes.join(grouped, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    counts = nodes.groupBy("component", "group").agg(F.count(F.lit(1)).alias("members"))
+    largest = counts.groupBy("component").agg(
+        F.max(F.struct("members", "group")).getField("group").alias("largest"), F.count(F.lit(1)).alias("groups")
+    )
+    # A component of one group has no link to find.
+    open_ = largest.where("groups > 1").select("component", "largest")
+    nodes = written(nodes.join(open_, "component").withColumn("rest", F.col("group") != F.col("largest")).drop("largest"))
+    if nodes.isEmpty():
+        return confirmed.limit(0)
+    tokens = written(_tokens(sets.join(nodes.select("node"), "node", "left_semi")).join(nodes.select("node", "component"), "node"))
+    often = tokens.groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("often"))
+    # What a single set has joins nothing, but takes its place in the order.
+    ranked = (
+        tokens.join(often, ["component", "shingle"])
+        .groupBy("node")
+        .agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("ordered"))
+        .join(nodes, "node")
+    )
+    lower = f"n - ceil(n * {2 * PERCENT} / {100 + PERCENT}) + 1"
+    upper = f"n - ceil(n * {PERCENT} / 100) + 1"
+    kept = [F.col(c) for c in ("component", "node", "n", "group", "rest")]
+    place = ranked.select(*kept, F.expr(lower).cast("int").alias("short"), F.posexplode(F.expr(f"slice(ordered, 1, int({upper}))")).alias("at", "t"))
+    place = written(place.where("t.often > 1").select(*kept, "short", "at", F.col("t.shingle").alias("shingle"), "t.often"))
+    # A frequent shingle is dealt over parts; the smaller set meets them all.
+    parts = F.expr(f"int(ceil(often / {_DEALT}))")
+    small = place.where("at < short").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    large = place.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    a, b = small.alias("a"), large.alias("b")
+    key = (
+        (F.col("a.component") == F.col("b.component")) & (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.part") == F.col("b.part"))
+        & (F.struct("a.n", "a.node") < F.struct("b.n", "b.node"))
+        & (100 * F.col("a.n") >= PERCENT * F.col("b.n"))
+        & (F.col("a.group") != F.col("b.group"))
+    )
+    found = [
+        a.where("rest").join(b, key),
+        a.where("not rest").join(b.where("rest"), key),
+    ]
+    ends = (F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
+    return found[0].select(*ends).unionByName(found[1].select(*ends)).distinct()
+
+
 def group(docs: DataFrame, row: str) -> DataFrame:
     """(row, doc_id, n_shingles, component_id, first_row) of every row of ``docs``.
 
@@ -296,8 +363,9 @@ def group(docs: DataFrame, row: str) -> DataFrame:
     if huge.isEmpty():
         labels = small
     else:
-        links = components(_confirmed_pairs(huge, labelled.where("large")))
-        labels = small.unionByName(links)
+        confirmed = written(_confirmed_pairs(huge, labelled.where("large")))
+        more = _confirmed_pairs(huge, _looked_up(huge, confirmed))
+        labels = small.unionByName(components(confirmed.unionByName(more)))
     labels = labels.withColumnRenamed("node", "rep")
     whole = written(
         classes.select("set_key", "rep", "first")

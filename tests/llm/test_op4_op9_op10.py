@@ -53,6 +53,28 @@ def test_near_copies(spark, monkeypatch, region, shingles):
         assert np.mean([got[i] == want[i] for i in got]) > 0.97
 
 
+@pytest.mark.parametrize("dealt", [1000, 7])
+def test_large_components_by_joins(spark, monkeypatch, dealt):
+    """Texts with a shared template, 0.667 alike, and pairs of 0.754 among them: equal to brute force."""
+    monkeypatch.setattr(near_dedup, "TASK_SHINGLES", 500)
+    monkeypatch.setattr(near_dedup, "_DEALT", dealt)
+    rng = random.Random(6)
+    template = [f"t{k}" for k in range(84)]
+    texts = []
+    for n in range(180):
+        own = [f"o{n}x{k}" for k in range(20)]
+        texts.append(" ".join(template + own))
+        if n % 2 == 0:
+            texts.append(" ".join(template + own[:6] + [f"p{n}x{k}" for k in range(14)]))
+    texts += [" ".join(template + ["last"] * 2 + [f"g{k}x{j}" for j in range(3)]) for k in range(12)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_dedup.group(near_dedup.numbered_rows(docs, "row"), "row").collect()}
+    want = brute_components(rows)
+    assert len(set(want.values())) < len(rows) and got == want
+
+
 def test_op4_on_the_table(spark, sf_dir):
     got = {r.doc_id: r.component_id for r in queries.op4_near_dedup(spark, sf_dir).collect()}
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
