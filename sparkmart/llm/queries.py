@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, decontamination, line_dedup, near_dedup, packing, personal_data, quality, token_files, toxicity, url_rules
+from sparkmart.llm import (
+    chat, decontamination, filter_audit, line_dedup, near_dedup, packing, personal_data, quality, token_files, toxicity, url_rules,
+)
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
 
@@ -149,6 +151,53 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at every step of every order, for each language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+with texts as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents),
+firsts as (select text, min(doc_id) as first_id from texts group by text),
+known as (
+    select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+    from labels group by doc_id),
+split as (
+    select t.*, regexp_extract_all(t.text, '[^\x20\x09-\x0D]+') as words, f.first_id < t.doc_id as repeat
+    from texts t join firsts f on t.text = f.text),
+flags as (
+    select part, doc_id,
+        (case when len(words) < 100 then 1 else 0 end)
+        + (case when 100 * len(list_distinct(words)) < 80 * len(words) then 2 else 0 end)
+        + (case when 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text) then 4 else 0 end)
+        + (case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end)
+        + (case when repeat then 16 else 0 end) as mask
+    from split),
+masks as (
+    select part, mask, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+    from flags left join known using (doc_id) group by part, mask),
+letters as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) as t(letter, bit)),
+orders as (
+    select a.letter || b.letter || c.letter || d.letter || e.letter as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+    from letters a, letters b, letters c, letters d, letters e
+    where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+steps as (
+    select filter_order, k as step, bits[k] as bit, coalesce(list_sum(bits[1:k - 1]), 0)::integer as before
+    from orders, (select unnest([1, 2, 3, 4, 5]) as k)),
+judged as (
+    select m.*, s.*, m.mask & s.bit <> 0 as fails, m.mask & s.before <> 0 as earlier from masks m, steps s)
+select part, filter_order, step,
+    sum(case when not fails and not earlier then n else 0 end)::bigint as kept,
+    sum(case when fails and not earlier then n else 0 end)::bigint as removed,
+    sum(case when fails and earlier then n else 0 end)::bigint as redundant,
+    sum(case when mask = bit then n else 0 end)::bigint as unique_fails,
+    sum(case when fails and not earlier then good else 0 end)::bigint as good_lost,
+    sum(case when fails and not earlier then toxic else 0 end)::bigint as toxic_lost,
+    (sum(sum(case when fails and not earlier then n else 0 end)) over (partition by part, bit))::bigint as shapley
+from judged group by part, filter_order, step, bit
+"""
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
@@ -160,8 +209,10 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op2_url_filters": OP2_SQL,
+    "op11_filter_audit": OP11_SQL,
 }
