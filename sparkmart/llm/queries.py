@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.llm import (
-    chat, decontamination, filter_audit, line_dedup, near_dedup, packing, personal_data, quality, token_files, toxicity, url_rules,
+    chat, decontamination, filter_audit, line_dedup, near_dedup, packing, personal_data, quality, spelling, token_files,
+    toxicity, url_rules,
 )
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
@@ -198,6 +199,11 @@ from judged group by part, filter_order, step, bit
 """
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words' number, the form that it varies, and the root of that."""
+    return spelling.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
@@ -210,6 +216,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_filter_audit": op11_filter_audit,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
