@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.llm import (
-    chat, decontamination, filter_audit, line_dedup, near_dedup, packing, personal_data, quality, spelling, token_files,
-    toxicity, url_rules,
+    chat, decontamination, filter_audit, fingerprints, line_dedup, near_dedup, packing, personal_data, quality, spelling,
+    token_files, toxicity, url_rules,
 )
 from sparkmart.llm.common import table
 from sparkmart.sources.staging import new_folder
@@ -204,6 +204,21 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited text, and how alike they and the next document's are."""
+    found = fingerprints.edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    own, edited = F.col("vector"), F.col("edited_vector")
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.as_text(own).alias("fingerprint"),
+        fingerprints.as_text(edited).alias("edited_fingerprint"),
+        fingerprints.likeness(own, edited).alias("near_edited"),
+        fingerprints.likeness(own, F.col("next_vector")).alias("near_next"),
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
@@ -217,6 +232,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_filter_audit": op11_filter_audit,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
