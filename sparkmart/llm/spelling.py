@@ -128,16 +128,16 @@ def _paths(words: DataFrame) -> DataFrame:
     nodes = (
         prefixes.groupBy("node")
         .agg(
-            F.min("next").alias("low"), F.max("next").alias("high"),
+            F.min("next").alias("low"), F.max("next").alias("high"), F.min(F.when(F.col("next") >= 0, F.col("next"))).alias("least"),
             F.bit_or(_bit(F.least("left", F.lit(_LONGEST)), _LONGEST + 1)).alias("lengths"),
             F.bit_or(F.when(F.col("next") >= 0, _bit(F.col("next"), _POINTS)).otherwise(F.lit(0).cast("long"))).alias("nexts"),
         )
         .where("low < high or low = -1")
-        .select("node", (F.col("low") == _END).alias("ends"), "lengths", "nexts")
+        .select("node", (F.col("low") == _END).alias("ends"), (F.col("least") < F.col("high")).alias("parts"), "lengths", "nexts")
     )
     stops = prefixes.select("id", "back", "depth", "node").join(nodes, "node")
     # No more nodes than code points of the word.
-    paths = stops.groupBy("id", "back").agg(F.array_sort(F.collect_list(F.struct("depth", "node", "ends", "lengths", "nexts"))).alias("path"))
+    paths = stops.groupBy("id", "back").agg(F.array_sort(F.collect_list(F.struct("depth", "node", "ends", "parts", "lengths", "nexts"))).alias("path"))
     spelt = F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word"))
     return written(paths.join(words.select("id", "word"), "id").select("id", spelt.alias("spelt"), "back", "path"))
 
@@ -162,7 +162,9 @@ _STATE = ("spelt", "back", "at", "point", "inserted", "position", "node")
 def _unedited(paths: DataFrame) -> DataFrame:
     """(level, state) of every word at the nodes of its own path from its middle on, no edit made: ``at`` is null."""
     half = F.expr("if(back, length(spelt) - length(spelt) div 2, length(spelt) div 2)")
-    rows = paths.select("spelt", "back", half.alias("half"), F.posexplode("path").alias("level", "stop")).where("stop.depth >= half")
+    rows = paths.select("spelt", "back", half.alias("half"), F.posexplode("path").alias("level", "stop"))
+    # Where words only end, there is no other branch, but for a word that ends itself.
+    rows = rows.where("stop.depth >= half and (stop.parts or (stop.nexts <> 0 and stop.depth = length(spelt)))")
     state = {
         "at": F.lit(None).cast("int"), "point": F.lit(None).cast("string"), "inserted": F.lit(False),
         "position": F.col("stop.depth"), "node": F.col("stop.node"),
@@ -172,26 +174,35 @@ def _unedited(paths: DataFrame) -> DataFrame:
 
 
 def _advanced(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """The states after one edge, all with their edit, and ``ends`` where a word ends there."""
+    """The states after one edge, all with their edit, and ``over`` where word and edge end with a word."""
     joined = states.join(edges.withColumnRenamed("node", "edge_node"), F.col("node") == F.col("edge_node"))
-    rest = "substring(spelt, position + 1)"
-    moved = F.expr(
-        f"""case when at is not null then
-            if(startswith({rest}, label), array(struct(at, point, inserted, position + length(label) as position)), array())
-        when substring({rest}, 1, 1) = substring(label, 1, 1) then array()
-        else filter(array(
-            if(substring({rest}, 1, 1) < substring(label, 1, 1) and {rest} <> '' and startswith(substring({rest}, 2), substring(label, 2)),
-                struct(position as at, substring(label, 1, 1) as point, false as inserted, position + length(label) as position), null),
-            if(startswith({rest}, substring(label, 2)),
-                struct(position as at, substring(label, 1, 1) as point, true as inserted, position + length(label) - 1 as position), null)
-        ), s -> s is not null) end"""
+    rest, size = F.expr("substring(spelt, position + 1)"), F.length("label")
+    tail, unedited = F.expr("substring(label, 2)"), F.col("at").isNull()
+    first, branch = F.substring(rest, 1, 1), F.substring("label", 1, 1)
+
+    def goes_on(position: Column) -> Column:
+        left = F.length("spelt") - position
+        length = F.col("lengths").bitwiseAND(_bit(F.least(left, F.lit(_LONGEST)), _LONGEST + 1)) != 0
+        point = F.ascii(F.substring(F.col("spelt"), position + 1, F.lit(1)))
+        return F.when(left == 0, F.col("ends")).otherwise(length & (F.col("nexts").bitwiseAND(_bit(point, _POINTS)) != 0))
+
+    # A replaced code point uses up one of the word, an inserted one none. One way suffices for replacing.
+    matched = ~unedited & F.startswith(rest, F.col("label"))
+    replaced = unedited & (rest != "") & (first < branch) & F.startswith(F.expr("substring(spelt, position + 2)"), tail)
+    inserted = unedited & (first != branch) & F.startswith(rest, tail)
+    whole = (matched | replaced) & goes_on(F.col("position") + size)
+    less = inserted & goes_on(F.col("position") + size - 1)
+    # Most rows end here, before anything is made of them.
+    rows = joined.select("*", whole.alias("whole"), less.alias("less")).where("whole or less")
+    kinds = F.when(F.expr("whole and less"), F.array(F.lit(0), F.lit(1))).when(F.col("whole"), F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
+    rows = rows.withColumn("short", F.explode(kinds))
+    position = (F.col("position") + size - F.col("short")).alias("position")
+    return rows.select(
+        "spelt", "back", F.when(unedited, F.col("position")).otherwise(F.col("at")).alias("at"),
+        F.when(unedited, branch).otherwise(F.col("point")).alias("point"),
+        F.when(unedited, F.col("short") == 1).otherwise(F.col("inserted")).alias("inserted"),
+        position, F.col("child").alias("node"), (F.length("spelt") == F.col("position") + size - F.col("short")).alias("over"),
     )
-    rows = joined.select("spelt", "back", F.explode(moved).alias("to"), F.col("child").alias("node"), "ends", "lengths", "nexts")
-    rows = rows.select("spelt", "back", "to.*", "node", "ends", "lengths", "nexts")
-    left = F.length("spelt") - F.col("position")
-    length = F.col("lengths").bitwiseAND(_bit(F.least(left, F.lit(_LONGEST)), _LONGEST + 1)) != 0
-    point = F.col("nexts").bitwiseAND(_bit(F.ascii(F.expr("substring(spelt, position + 1, 1)")), _POINTS)) != 0
-    return rows.where(F.when(left == 0, F.col("ends")).otherwise(length & point)).select(*_STATE, (left == 0).alias("over"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
