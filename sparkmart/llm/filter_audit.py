@@ -72,21 +72,28 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def _other_hash(text: Column) -> Column:
+    """Tells the documents of different texts with one hash apart."""
+    return F.xxhash64(F.lit(1), text)
+
+
 def _masks(docs: DataFrame, part: str) -> DataFrame:
-    """(part, doc_id, hash, mask) of every document, the text's own bits only."""
-    schema = pa.schema([("part", pa.string()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("mask", pa.int32())])
+    """(part, doc_id, hash, other_hash, mask) of every document, the text's own bits only."""
+    schema = pa.schema(
+        [("part", pa.string()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("other_hash", pa.int64()), ("mask", pa.int32())]
+    )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            masks = pa.array([text_mask(t) for t in batch.column(3).to_pylist()], pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], masks], schema=schema)
+            masks = pa.array([text_mask(t) for t in batch.column(4).to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], masks], schema=schema)
 
     text = _whole_text()
     rows = docs.select(
         F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.col("doc_id").cast("long").alias("doc_id"),
-        text_hash(text).alias("hash"), text.cast("binary").alias("data"),
+        text_hash(text).alias("hash"), _other_hash(text).alias("other_hash"), text.cast("binary").alias("data"),
     )
-    return written(rows.mapInArrow(judge, "part string, doc_id long, hash long, mask int"))
+    return written(rows.mapInArrow(judge, "part string, doc_id long, hash long, other_hash long, mask int"))
 
 
 # the sketch ------------------------------------------------------------------------
@@ -179,13 +186,12 @@ def _with_repeats(masks: DataFrame, docs: DataFrame) -> DataFrame:
     shared = firsts.where("texts > 1").select("hash")
     if not shared.isEmpty():
         # Different texts of one hash: their documents are compared by the texts themselves.
-        theirs = possible.join(shared, "hash", "left_semi")
-        least = theirs.groupBy("hash", "text").agg(F.min("doc_id").alias("first"))
-        repeats = theirs.join(least, ["hash", "text"]).where(later).select("hash", F.col("doc_id").alias("their_id")).distinct()
-        same = (masks["hash"] == repeats["hash"]) & masks["doc_id"].eqNullSafe(F.col("their_id"))
-        again = masks.join(repeats.withColumn("again", F.lit(True)), same, "left").select(masks["*"], "again")
-        marked = again.join(single, "hash", "left").withColumn("repeat", later | F.coalesce("again", F.lit(False))).drop("first", "again")
-    return marked.withColumn("mask", F.col("mask").bitwiseOR(F.when(F.coalesce("repeat", F.lit(False)), 16).otherwise(0))).drop("repeat", "hash")
+        theirs = possible.join(shared, "hash", "left_semi").withColumn("other_hash", _other_hash(F.col("text")))
+        least = theirs.groupBy("hash", "other_hash", "text").agg(F.min("doc_id").alias("least")).drop("text")
+        marked = marked.join(least, ["hash", "other_hash"], "left").withColumn(
+            "repeat", F.when(F.col("least").isNull(), F.col("repeat")).otherwise(F.coalesce(F.col("least") < F.col("doc_id"), F.lit(True)))
+        ).drop("least")
+    return marked.withColumn("mask", F.col("mask").bitwiseOR(F.when(F.coalesce("repeat", F.lit(False)), 16).otherwise(0))).drop("repeat", "hash", "other_hash")
 
 
 # counts ----------------------------------------------------------------------------
