@@ -1,0 +1,237 @@
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import permutations
+
+import pytest
+import xxhash
+
+import oracle
+from sparkmart.llm import filter_audit, fingerprints, queries, spelling
+
+# filter audit ----------------------------------------------------------------------
+
+
+def audit_rows(docs, labels):
+    """The contract, document by document and order by order."""
+    known = defaultdict(lambda: [0, 0])
+    for doc_id, quality, toxic in labels:
+        if doc_id is not None:
+            known[doc_id] = [known[doc_id][0] | (quality == 1), known[doc_id][1] | (toxic == 1)]
+    parts = defaultdict(list)
+    for doc_id, text, lang in docs:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = set()
+        fails |= {"A"} if len(words) < 100 else set()
+        fails |= {"B"} if 100 * len(set(words)) < 80 * len(words) else set()
+        fails |= {"C"} if 100 * len(re.findall("[A-Z]", text)) > 10 * len(text) else set()
+        fails |= {"D"} if re.search(r"[#$%&*|]", text) else set()
+        smaller = any((t or "") == text and i is not None and (doc_id is None or i < doc_id) for i, t, _ in docs)
+        fails |= {"E"} if smaller else set()
+        parts[lang or ""].append((fails, *known.get(doc_id, (0, 0))))
+    rows = set()
+    for part, members in parts.items():
+        shapley, of = Counter(), []
+        for order in permutations("ABCDE"):
+            left = members
+            for step, f in enumerate(order, 1):
+                gone = [m for m in left if f in m[0]]
+                kept = [m for m in left if f not in m[0]]
+                failing, alone = sum(f in m[0] for m in members), sum(m[0] == {f} for m in members)
+                of.append((part, "".join(order), step, len(kept), len(gone), failing - len(gone), alone, sum(m[1] for m in gone), sum(m[2] for m in gone), f))
+                shapley[f] += len(gone)
+                left = kept
+        rows |= {(*r[:-1], shapley[r[-1]]) for r in of}
+    return rows
+
+
+def test_op11_sql(spark, sf_dir):
+    con = oracle.connect(sf_dir)
+    df = queries.op11_filter_audit(spark, sf_dir)
+    assert oracle.spark_rows(df) == oracle.sql_rows(con, queries.ORACLES["op11_filter_audit"])
+    assert not oracle.types_differ(df, con, queries.ORACLES["op11_filter_audit"])
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_audit_on_odd_rows(spark, odd_docs, monkeypatch, weak):
+    if weak:  # a hash of few values: different texts share it
+        monkeypatch.setattr(filter_audit, "text_hash", lambda text: filter_audit.F.pmod(filter_audit.F.xxhash64(text), filter_audit.F.lit(2)))
+    marked = [(20, "a#b " * 200, "de"), (21, "a#b " * 200, None), (21, "a#b " * 200, None), (19, "a#b " * 200, "de"), (30, "ABC", ""), (31, "ABC", "en")]
+    docs = odd_docs.select("doc_id", "text").withColumn("lang", filter_audit.F.lit("en"))
+    docs = docs.unionByName(spark.createDataFrame(marked, "doc_id long, text string, lang string"))
+    labels = [(20, 1, 0), (20, 0, 1), (None, 1, 1), (7, None, 1), (31, 1, None), (404, 1, 1)]
+    audit = filter_audit.audit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    want = audit_rows([tuple(r) for r in docs.collect()], labels)
+    assert {tuple(r) for r in audit.collect()} == want
+    assert filter_audit.audit(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_sketch_clears_unique_texts(spark):
+    """No repeat is cleared, and nearly all unique texts are, also over many segments."""
+    rows = [(i, f"text {i}") for i in range(30_000)] + [(40_000 + i, f"text {7 * i}") for i in range(300)]
+    rows += [(50_000 + i, "very often") for i in range(15_000)]
+    docs = filter_audit.written(spark.createDataFrame(rows, "doc_id long, text string"))
+    hashes = docs.select(filter_audit.text_hash(docs["text"]).alias("hash"))
+    possible = {r.doc_id for r in filter_audit._possible_repeats(docs, hashes).collect()}
+    repeated = {7 * i for i in range(300)} | {i for i, _ in rows if i >= 40_000}
+    assert possible >= repeated and len(possible - repeated) < 0.03 * 30_000
+
+
+# spelling variants -----------------------------------------------------------------
+
+
+def spelling_rows(docs):
+    total = Counter()
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    for doc_id, text in docs:
+        for w, n in Counter(re.findall("[A-Za-zÀ-ÿ]+", text or "")).items():
+            w = w.translate(lower)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{w}".encode())
+            if h % 97 == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            total[w] += n
+    words = {w: n for w, n in total.items() if n >= 3 and len(w) >= 5}
+    less, near = defaultdict(list), defaultdict(set)
+    for w in words:
+        for k in range(len(w)):
+            less[w[:k] + w[k + 1 :], k].append(w)
+    for (short, _), own in less.items():
+        for a in own:
+            near[a] |= {b for b in own if b != a}
+            if short in words:
+                near[a].add(short)
+                near[short].add(a)
+    form = {}
+    for w, n in words.items():
+        if near[w]:
+            best = min(near[w], key=lambda x: (-words[x], x))
+            if words[best] >= 2 * n:
+                form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {(w, form.get(w), root(w), n, len(near[w]), words.get(form.get(w))) for w, n in words.items()}
+
+
+def test_op12_by_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    rows = queries.op12_spelling_variants(spark, sf_dir).collect()
+    assert len(rows) == len({r.word for r in rows}) and {tuple(r) for r in rows} == spelling_rows(docs)
+
+
+def test_spelling_of_odd_words(spark, odd_docs):
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcde") for _ in range(3000))
+    variants = [long, long[:-1], long[1:], long[:1500] + "z" + long[1500:], long[:2000] + "y" + long[2001:], "y" + long[1:]]
+    runs = ["a" * n for n in range(4, 12)] + ["b" * 5 + "a" * 3, "ÀÉÿab", "Àéÿab", "Éÿabc", "naïve", "naive", "naives", "Naïves", "NAIVES"]
+    few = ["abcde", "abcdf", "abxde", "bcdea", "abcdea", "xabcde", "abcd", "abde", "edcba", "edcbaa"]
+    rows = [(k, " ".join(rng.choices([*variants, *runs, *few], k=80))) for k in range(12)]
+    rows += [(3, "repeat repeat repeats"), (3, "repeat repeat repeats"), (None, "repeat repeats x" * 3), (None, None), (77, ""), (9, "Ābcde Ābcde Ābcde 12345")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(odd_docs.select("doc_id", "text"))
+    got = [tuple(r) for r in spelling.group(docs).collect()]
+    assert len(got) == len(set(got)) and set(got) == spelling_rows([tuple(r) for r in docs.collect()])
+    assert spelling.group(odd_docs.limit(0)).count() == 0
+    assert spelling.group(docs.where("doc_id = 77")).count() == 0
+
+
+# fingerprints ----------------------------------------------------------------------
+
+
+class Vectors:
+    """The vectors of texts, pair by pair."""
+
+    def __init__(self, spark):
+        # Spark hashes an int as four bytes.
+        self._seeds = [xxhash.xxh64_intdigest(k.to_bytes(4, "little"), seed=42) for k in range(4)]
+        got = spark.sql("select xxhash64(3) as h").first().h % 2**64
+        self._seeds = self._seeds if self._seeds[3] == got else [r.h % 2**64 for r in spark.sql("select id, xxhash64(cast(id as int)) as h from range(4) order by id").collect()]
+
+    def of(self, text):
+        exact, lanes = [0] * 8, [0] * 64
+        for paragraph in text.split("\n"):
+            for k, seed in enumerate(self._seeds):
+                v = xxhash.xxh64_intdigest(paragraph, seed=seed)
+                exact[2 * k] += v & 0xFFFFFFFF
+                exact[2 * k + 1] += v >> 32
+            before = ""
+            for word in paragraph.split(" "):
+                if word:
+                    v = xxhash.xxh64_intdigest(word, seed=xxhash.xxh64_intdigest(before, seed=42))
+                    for b in range(64):
+                        lanes[b] += 2 * (v >> b & 1) - 1
+                before = word
+        return [x % 2**32 for x in exact], [x % 2**16 for x in lanes]
+
+    @staticmethod
+    def text(v):
+        return "".join(f"{x:08x}" for x in v[0]) + "".join(f"{x:04x}" for x in v[1])
+
+    @staticmethod
+    def likeness(a, b):
+        if a == b:
+            return 1.0
+        x, y = ([v - 2**16 if v >= 2**15 else v for v in w[1]] for w in (a, b))
+        norm = math.sqrt(float(sum(v * v for v in x)) * float(sum(v * v for v in y)))
+        return max(0.0, min(1.0, sum(p * q for p, q in zip(x, y)) / norm)) if norm else 0.0
+
+
+def expected(spark, docs):
+    vectors, rows = Vectors(spark), []
+    # Equal rows are one document in the order; null ids come last.
+    order = sorted({(i, t or "") for i, t in docs}, key=lambda d: (d[0] is None, -(d[0] or 0)))
+    for k, (doc_id, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        cut = len(text) // 2
+        edited = text[: len(text) - cut] + after[:cut]
+        a, b, c = (vectors.of(t) for t in (text, edited, after))
+        rows += [(
+            doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), vectors.text(a), vectors.text(b),
+            round(vectors.likeness(a, b), 12), round(vectors.likeness(a, c), 12),
+        )] * sum((i, t or "") == (doc_id, text) for i, t in docs)
+    return Counter(rows)
+
+
+def test_op13_by_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    rows = queries.op13_document_fingerprints(spark, sf_dir).collect()
+    assert Counter((*r[:5], round(r[5], 12), round(r[6], 12)) for r in rows) == expected(spark, [tuple(d) for d in docs])
+    assert sum(r.near_edited > r.near_next for r in rows) > 0.95 * len(rows)
+
+
+def test_fingerprints_of_odd_documents(spark, odd_docs):
+    rows = [(40, "a b\nc d\n\ne"), (41, "e\n\nc d\na b"), (42, " x  y "), (43, "\n\n"), (-5, "one"), (44, "😀 é\n" * 9)]
+    # Of one id there is one text here but for the null ids, whose order goes by hash.
+    odd = odd_docs.select("doc_id", "text").where("doc_id is not null").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    odd = odd.unionByName(spark.createDataFrame([(None, "last"), (None, "last")], "doc_id long, text string"))
+    got = queries.fingerprints.edited(odd)
+    own, other = got["vector"], got["edited_vector"]
+    got = got.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.as_text(own), fingerprints.as_text(other),
+        fingerprints.F.round(fingerprints.likeness(own, other), 12), fingerprints.F.round(fingerprints.likeness(own, got["next_vector"]), 12),
+    )
+    assert Counter(tuple(r) for r in got.collect()) == expected(spark, [tuple(d) for d in odd.collect()])
+    assert fingerprints.edited(odd_docs).count() == odd_docs.count()
+    assert fingerprints.edited(odd_docs.limit(0)).count() == 0
+    single = fingerprints.edited(odd.where("doc_id = 40")).first()
+    assert single.vector == single.next_vector
+
+
+def test_vectors_add_up(spark):
+    texts = ["a b c\nd e", "d e\na b c", "f g\nd e", "", "f g"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in fingerprints.fingerprints(docs).collect()}
+    assert rows[0].fingerprint == rows[1].fingerprint != rows[2].fingerprint
+    assert len({rows[k].fingerprint for k in (0, 2, 3, 4)}) == 4
+    # Without "a b c" and with "f g" the first is the third.
+    pieces = spark.createDataFrame([(0, "a b c"), (1, "f g")], "doc_id long, text string")
+    a, b = (r.vector for r in fingerprints.fingerprints(pieces).orderBy("doc_id").collect())
+    frame = spark.createDataFrame([(rows[0].vector, a, b)], "v struct<exact:array<bigint>,lanes:array<bigint>>, a struct<exact:array<bigint>,lanes:array<bigint>>, b struct<exact:array<bigint>,lanes:array<bigint>>")
+    changed = fingerprints.plus(fingerprints.minus(fingerprints.F.col("v"), fingerprints.F.col("a")), fingerprints.F.col("b"))
+    assert frame.select(fingerprints.as_text(changed)).first()[0] == rows[2].fingerprint
