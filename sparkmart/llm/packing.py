@@ -45,12 +45,13 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).ids
+        encode = encoder(tokenizer).each
 
         def rows():
             for batch in batches:
-                for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                    ids = encode(text) + end
+                doc_ids, texts = (c.to_pylist() for c in batch.columns)
+                for doc_id, ids in zip(doc_ids, encode(texts)):
+                    ids += end
                     for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         yield doc_id, n, at // 4, len(part) // 4, part
@@ -174,24 +175,32 @@ class _Search:
             self._shift([item], source, int(np.argmin(room)))
             return True
         partners = np.flatnonzero(open_[self._bin] & (self._bin != source))
-        pairs = [(int(i),) for i in own]
-        by_size = own[np.argsort(self._size[own])][:24]  # pairs of the smallest; larger ones seldom fit
-        pairs += [(int(a), int(b)) for k, a in enumerate(by_size) for b in by_size[k + 1 :]]
-        best, step = 0, None
-        for mine in pairs:
-            gain = int(self._size[list(mine)].sum()) - self._size[partners]
-            gain = np.where((gain > 0) & (gain <= free[self._bin[partners]]), gain, 0)
-            if len(gain) and gain.max() > best:
-                k = int(np.argmax(gain))
-                best, step = int(gain[k]), (mine, int(partners[k]))
-        if step is None:
+        gives = self._gives(own)
+        sums = np.array(sorted(gives))
+        # The most that each partner's bin can take for it.
+        most = np.searchsorted(sums, self._size[partners] + free[self._bin[partners]], "right") - 1
+        gain = np.where(most >= 0, sums[most] - self._size[partners], 0)
+        if not len(gain) or gain.max() <= 0:
             return False
-        mine, other = step
+        k = int(np.argmax(gain))
+        other = int(partners[k])
         target = int(self._bin[other])
         self._shift([other], target, source)
-        self._shift(list(mine), source, target)
+        self._shift(list(gives[int(sums[most[k]])]), source, target)
         return True
 
+    def _gives(self, own: np.ndarray) -> dict[int, tuple[int, ...]]:
+        """All sums of one or two of a bin's pieces, with such pieces; as lengths add up to a bin, few of them differ."""
+        by_length: dict[int, list[int]] = {}
+        for i in own.tolist():
+            by_length.setdefault(int(self._size[i]), []).append(i)
+        lengths = sorted(by_length)
+        pairs = {
+            a + b: (by_length[a][0], by_length[b][-1])
+            for k, a in enumerate(lengths) for b in lengths[k:] if a != b or len(by_length[a]) > 1
+        }
+        return pairs | {a: (by_length[a][0],) for a in lengths}
+
     def _shift(self, items: list[int], source: int, target: int) -> None:
         moved = int(self._size[items].sum())
         self._bin[items] = target

@@ -77,7 +77,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
     end = np.array([end_id], "<u4").tobytes()
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = encoder(tokenizer).ids, None
+        encode, shard = encoder(tokenizer).each, None
         doc_ids, lengths, ids, held, part, start = [], [], [], 0, 0, 0
 
         def segment() -> pa.RecordBatch:
@@ -87,8 +87,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
         for batch in batches:
-            for doc_id, text, shard in zip(*(c.to_pylist() for c in batch.columns)):
-                own = encode(text) + end
+            batch_ids, texts, shards = (c.to_pylist() for c in batch.columns)
+            for doc_id, own, shard in zip(batch_ids, encode(texts), shards):
+                own += end
                 doc_ids.append(doc_id)
                 lengths.append(len(own) // 4)
                 ids.append(own)

@@ -1,4 +1,4 @@
-"""Token ids of whole texts inside tasks, with a bounded memo of words."""
+"""Token ids of whole texts inside tasks: distinct words of many texts at once, and a bounded memo of words."""
 
 from __future__ import annotations
 
@@ -6,20 +6,26 @@ import functools
 import json
 import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
-#: Words, and parts of words, that a worker remembers, about 200 bytes each; beyond it the memo starts anew.
-MEMO_WORDS = 900_000
+#: Words that a worker remembers, about 250 bytes each; beyond it the memo starts anew.
+MEMO_WORDS = 1_200_000
+#: Characters of texts that are taken together, or one longer text.
+CHUNK = 8_000_000
 #: Fixed values of the tokenizer file: how it cleans a text and splits it into words.
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: Texts of these characters need no normalising but lower case, which keeps letters letters
+#: Texts of these characters need no normalising but lower case, which keeps letters among these letters
 #: (of İ it makes two characters), and the split below equals the tokenizer's.
-_PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ“”‘’–—…«»¿¡€°]*")
-_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ɏ]+|[0-9]|[^\sa-z0-9ß-öø-ɏ]+")
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ſ“”‘’–—…«»¿¡€°]*")
+#: What is a word though no blank parts it from its neighbours; of the rest letters are words.
+_APART = r"('(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-zß-öø-ſ0-9]+)"
 
 
 def default_path() -> str:
@@ -29,8 +35,9 @@ def default_path() -> str:
 class Encoder:
     """``ids(text)``: the token ids as little-endian unsigned 32-bit integers.
 
-    A tokenizer that treats every word alone is asked once per new word; texts with
-    other characters, and all texts of other tokenizers, go to the library whole.
+    With a tokenizer that treats every word alone, texts are split many at a time, their distinct
+    words are looked up once, and each new one is tokenized once. Texts with other characters,
+    and all texts of other tokenizers, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -46,55 +53,92 @@ class Encoder:
             and steps[0].get("pattern") == {"Regex": _SPLIT}
         )
         self._special = [t["content"] for t in spec.get("added_tokens", [])]
-        self._memo: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._forget()
         if self._by_word:
             suffix, vocabulary = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
-            self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._last = np.zeros(max(vocabulary.values()) + 1, bool)
             model = self._tokenizer.model
-            model._resize_cache(0)  # each part is asked for once; the library's own memo would only cost
+            model._resize_cache(0)  # each word is asked for once; the library's own memo would only cost
             self._tokenizer.model = model
-            self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+            self._tokenize = self._tokenizer.model.tokenize
+            self._last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _forget(self) -> None:
+        """Word n has the ids from ``_ends[n]`` to before ``_ends[n + 1]``; word 0 is empty."""
+        self._memo: dict[str, int] = {"": 0}
+        self._ids, self._ends = np.zeros(0, "<u4"), np.zeros(2, np.int64)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self._by_word or not _PLAIN.fullmatch(text) or any(s in text for s in self._special):
-            return self._whole(text)
-        words = text.split()
-        found = list(map(self._memo.get, words))
-        if None in found:
-            self._learn(words, {w for w, ids in zip(words, found) if ids is None})
-            found = map(self._memo.__getitem__, words)
-        return b"".join(found)
-
-    def _learn(self, words: list[str], new: set[str]) -> None:
-        memo, known = self._memo, self._parts
-        if len(memo) + len(new) > MEMO_WORDS:
-            memo.clear()
-            new = set(words)
-        if len(known) + len(words) > MEMO_WORDS:
-            known.clear()
-        split = []
-        for word in new:
-            if word.isalpha():
-                split.append((word, [word.lower()]))
-            elif word[-1] in ".,;:!?" and word[:-1].isalpha():
-                split.append((word, [word[:-1].lower(), word[-1]]))
+        return next(self.each([text]))
+
+    def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of every text, in order."""
+        held: list[str | bytes] = []
+        size = 0
+        for text in texts:
+            if not text:
+                held.append(b"")
+            elif not self._by_word or not _PLAIN.fullmatch(text) or any(s in text for s in self._special):
+                held.append(self._whole(text))
+            else:
+                held.append(text.lower())
+                size += len(text)
+            if size >= CHUNK or len(held) >= CHUNK:
+                yield from self._together(held)
+                held, size = [], 0
+        yield from self._together(held)
+
+    def _together(self, held: list[str | bytes]) -> Iterator[bytes]:
+        texts = pa.array([h for h in held if isinstance(h, str)], pa.large_string())
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, _APART, r" \1 "))
+        coded = words.flatten().dictionary_encode()
+        number = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        first, n = self._ends[number], self._ends[number + 1] - self._ends[number]
+        place = np.concatenate([[0], np.cumsum(n)])
+        ids = self._ids[np.repeat(first - place[:-1], n) + np.arange(place[-1])]
+        bounds = iter(place[words.offsets.to_numpy()].tolist())
+        start = next(bounds, 0)
+        for h in held:
+            if isinstance(h, bytes):
+                yield h
             else:
-                split.append((word, _WORDS.findall(word.lower())))
-        if parts := list(dict.fromkeys(p for _, own in split for p in own if p not in known)):
+                end = next(bounds)
+                yield ids[start:end].tobytes()
+                start = end
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each of the words, which are distinct."""
+        found = list(map(self._memo.get, words))
+        new = [w for w, n in zip(words, found) if n is None]
+        if new:
+            if len(self._memo) + len(new) > MEMO_WORDS:
+                self._forget()
+                new = [w for w in words if w]
+            self._learn(new)
+            found = list(map(self._memo.__getitem__, words))
+        return np.array(found, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        # The steps before the model leave a word of ASCII as it is.
+        plain = [w for w in words if w.isascii()]
+        other = [w for w in words if not w.isascii()]
+        ids = [[t.id for t in self._tokenize(w)] for w in plain]
+        sizes = [len(i) for i in ids]
+        found = np.fromiter((i for own in ids for i in own), "<u4", sum(sizes))
+        if other:
             # Blanks part words, so one call serves them all; the last token of each says so.
-            ids = np.array(self._tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
-            data, at = ids.tobytes(), 0
-            for part, end in zip(parts, (4 * np.flatnonzero(self._ends[ids]) + 4).tolist(), strict=True):
-                known[part] = data[at:end]
-                at = end
-        for word, own in split:
-            memo[word] = known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own])
+            more = np.array(self._tokenizer.encode(" ".join(other), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self._last[more]) + 1
+            if len(ends) != len(other):
+                raise ValueError("the tokenizer does not end each word")
+            found = np.concatenate([found, more])
+            sizes += np.diff(ends, prepend=0).tolist()
+        self._memo.update(zip([*plain, *other], range(len(self._ends) - 1, len(self._ends) - 1 + len(words))))
+        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
+        self._ids = np.concatenate([self._ids, found])
 
 
 @functools.lru_cache(maxsize=2)
