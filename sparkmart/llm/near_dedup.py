@@ -25,6 +25,7 @@ any two linked sets do (``_looked_up``). So no group is gathered that grows with
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -191,28 +192,49 @@ def _candidate_pairs(orders: DataFrame) -> DataFrame:
 
 
 def complete(sets: dict[int, np.ndarray], union: Union) -> None:
-    """Finds every link that is still missing, by counting shared shingles with all other sets.
+    """Finds every link that is still missing, by the rarest shingles of each set.
 
-    One end of such a link lies outside the largest group, so only those sets are looked up.
+    With shingles in one order, rarest first, the first one that two linked sets share is near the
+    start of both (see ``_looked_up``). One end of a missing link lies outside the largest group.
     """
     nodes = list(sets)
     roots = [union.find(node) for node in nodes]
-    largest = max(set(roots), key=roots.count)
-    rest = [k for k, root in enumerate(roots) if root != largest]
-    if not rest:
+    largest = Counter(roots).most_common(1)[0][0]
+    rest = np.array([root != largest for root in roots])
+    if not rest.any():
         return
     sizes = np.array([len(sets[node]) for node in nodes])
     owner = np.repeat(np.arange(len(nodes)), sizes)
-    every = np.concatenate([sets[node] for node in nodes])
-    order = np.argsort(every, kind="stable")
-    every, owner = every[order], owner[order]
-    for k in rest:
-        low, high = (np.searchsorted(every, sets[nodes[k]], side) for side in ("left", "right"))
+    _, number, often = np.unique(np.concatenate([sets[node] for node in nodes]), return_inverse=True, return_counts=True)
+    order = np.lexsort((number, often[number], owner))
+    owner, number = owner[order], number[order]
+    rank = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    # Shingles of a single set link nothing, but keep their place in the order.
+    shared = often[number] > 1
+    short = shared & (rank < (sizes - -(-sizes * 2 * PERCENT // (100 + PERCENT)) + 1)[owner])
+    long = shared & (rank < (sizes - -(-sizes * PERCENT // 100) + 1)[owner])
+
+    def index(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        by = np.argsort(number[chosen], kind="stable")
+        return number[chosen][by], owner[chosen][by]
+
+    every, others = index(long), index(long & rest[owner])
+    starts = np.concatenate([[0], np.cumsum(np.bincount(owner[short], minlength=len(nodes)))])
+    looked = number[short]
+    for k in range(len(nodes)):
+        # A set of the largest group only has to meet those outside.
+        values, owners = every if rest[k] else others
+        own = looked[starts[k] : starts[k + 1]]
+        low, high = (np.searchsorted(values, own, side) for side in ("left", "right"))
         count = high - low
-        places = np.repeat(high - np.cumsum(count), count) + np.arange(count.sum())
-        shared = np.bincount(owner[places], minlength=len(nodes))
-        for other in np.flatnonzero(100 * shared >= PERCENT * (sizes[k] + sizes - shared)):
-            union.join(nodes[k], nodes[int(other)])
+        if not count.any():
+            continue
+        found = owners[np.repeat(high - np.cumsum(count), count) + np.arange(count.sum())]
+        found = found[(sizes[found] >= sizes[k]) & (100 * sizes[k] >= PERCENT * sizes[found])]
+        for other in np.unique(found).tolist():
+            a, b = nodes[k], nodes[other]
+            if union.find(a) != union.find(b) and linked(sets[a], sets[b]):
+                union.join(a, b)
 
 
 def _confirmed_within(sets: DataFrame, pairs: DataFrame) -> DataFrame:
