@@ -82,6 +82,23 @@ def land_columns(raw: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def _typed_ok() -> Column:
+    good = F.trim("Date_ID").rlike(DATE_ID_PATTERN)
+    for column, limits in LIMITS.items():
+        good = good & (F.col(column).isNull() | F.col(column).between(*limits))
+    return F.coalesce(good, F.lit(False))
+
+
+def conform_typed(source: DataFrame) -> DataFrame:
+    """Rows of a typed source that landing would accept, with the date code trimmed."""
+    return source.filter(_typed_ok()).withColumn("Date_ID", F.trim("Date_ID"))
+
+
+def typed_rejects(source: DataFrame) -> DataFrame:
+    """The other rows of a typed source, as they are."""
+    return source.filter(~_typed_ok())
+
+
 def require_clean(raw: DataFrame) -> DataFrame:
     """Strict mode: the conformed rows, or an error if any row is rejected."""
     example = land_columns(raw).filter("reject_reason is not null").select("reject_reason").first()

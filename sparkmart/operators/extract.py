@@ -31,6 +31,27 @@ def window(source: DataFrame, lo: str | Column, hi: str | Column | None) -> Data
     return source.filter((F.col("Date_ID") > lower) & (F.col("Date_ID") <= upper))
 
 
+def near_window(source: DataFrame, lo: str, hi: str | None = None) -> DataFrame:
+    """A superset of the window over codes that blanks may surround; the bounds reach the scan.
+
+    A leading blank sorts below "DT", a trailing one adds no more than the "!" behind it.
+    """
+    code = F.col("Date_ID")
+    near = source.filter((code > F.lit(lo)) | (code < F.lit("DT")))
+    return near if hi is None else near.filter(code < F.lit(hi + "!"))
+
+
+def bound_of(position: str) -> str:
+    """The date bound of a position: what a load reached, behind which loads of late rows count up."""
+    return position.partition(".")[0]
+
+
+def next_position(position: str, newest: str) -> str:
+    """The position after a load: its newest Date_ID, or one more at the same bound."""
+    bound, _, count = position.partition(".")
+    return newest if newest > bound else f"{bound}.{int(count or 0) + 1:06d}"
+
+
 def last_load(state: DataFrame) -> str:
     """The stored bound (the state table holds one row); '' before the first load."""
     row = state.first()

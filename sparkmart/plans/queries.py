@@ -335,7 +335,7 @@ def path_sql_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = silver.enrich(sales(spark, sf_dir)).select(*SILVER_COLUMNS)
     store.write_loads_anew(enriched, "silver")
     store.write_loads_anew(enriched, "silver")
-    return read_path_sql(spark, store.path("silver"), ", ".join(SILVER_COLUMNS))
+    return read_path_sql(spark, store.live_path("silver"), ", ".join(SILVER_COLUMNS))
 
 
 # dimensions --------------------------------------------------------------------------
@@ -496,9 +496,8 @@ def two_load_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_load_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same two runs with the fact kept at its 4-key grain."""
     store = _two_runs(spark, sf_dir, "grain")
-    stored = store.read_partitions("fact_grain", load_job.GRAIN)
-    tables = {s.name: store.read_version(s.name, s.schema) for s in DIMS}
-    return _with_natural_keys(stored, tables).select(*MEASURES, *NATURAL_KEYS, *load_job.MONTH)
+    tables = load_job.gold(store)
+    return _with_natural_keys(tables["fact_grain"], tables).select(*MEASURES, *NATURAL_KEYS, *load_job.MONTH)
 
 
 # checks ------------------------------------------------------------------------------

@@ -40,7 +40,7 @@ MAPPING = (
 #: Raw columns whose sink type, an unsigned byte, is narrower than the Spark type here.
 LIMITS = {"Day": (0, 255), "Month": (0, 255)}
 
-DATE_ID_PATTERN = "^DT[0-9]{5}$"
+DATE_ID_PATTERN = r"^DT[0-9]{5}\z"
 WHOLE_NUMBER = "^ *[+-]?[0-9]+ *$"
 
 MEASURES = ("Revenue", "Units_Sold")
@@ -61,8 +61,22 @@ LANDED = T.StructType(
         T.StructField("received", RAW),
         T.StructField("raw_text", T.StringType()),
         T.StructField("source_path", T.StringType()),
+        T.StructField("landing", T.StringType()),
     ]
 )
+#: Hidden column of bronze, silver and the row fact: the landed file of a row, NULL for other sources.
+LINEAGE = T.StructField("source_file", T.StringType())
+#: One row per landed file. ``landed_at`` is the position of bronze when it first landed, ``taken``
+#: the load that took what was left of it.
+LEDGER = T.StructType(
+    [
+        *[T.StructField(c, T.StringType()) for c in ("source_file", "source_path", "landing", "landed_at")],
+        *[T.StructField(c, T.LongType()) for c in ("n_received", "n_accepted", "n_rejected", "n_late")],
+        *[T.StructField(c, T.StringType()) for c in ("min_date", "max_date", "taken")],
+    ]
+)
+#: One row per live folder of a table: its load or part, and where it lies below the table.
+LIVE = T.StructType([T.StructField(c, T.StringType()) for c in ("table_name", "part", "folder")])
 SILVER = T.StructType(
     [
         *BRONZE.fields,

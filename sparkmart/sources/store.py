@@ -1,9 +1,11 @@
 """Tables on plain Parquet: loads, versions, the state rows and catalog views.
 
-Large tables (source, bronze, silver, fact) hold one folder per load or file and a
-retry replaces just that folder. Small ones (dimensions, state) get a new version
-folder per commit; readers take the newest complete one, so no folder is overwritten
-while it is read. One writer per store is assumed.
+Large tables (bronze, silver, fact) hold one folder per load or part; each write goes to a folder
+of its own and counts once a list that names the live folders is written. Small tables (dimensions,
+state, the lists) get a new version folder per commit and readers take the newest complete one. So
+no folder is overwritten or deleted while it is live, and a reader keeps what it started with until
+the second commit after. The source table holds one folder per landed file, replaced as a whole.
+One writer per store is assumed.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from sparkmart.schema import WATERMARK
+from sparkmart.schema import LIVE, WATERMARK
 from sparkmart.sources.files import empty_table
 
 FIRST_LOAD = "0"  # folder name of the load that starts at the empty bound
@@ -49,16 +51,53 @@ class Store:
             return []
         return [s.getPath().getName() for s in self._fs(path).listStatus(self._hadoop_path(path))]
 
+    def children(self, table: str) -> list[str]:
+        return self._children(self.path(table))
+
+    # live folders --------------------------------------------------------------
+
+    def live(self, name: str) -> list[tuple[str, str, str]]:
+        """(table, part, folder) of the newest list ``name``, a row per live folder."""
+        return [tuple(r) for r in self.read_version(f"live/{name}", LIVE).collect()]
+
+    def new_part(self, name: str, table: str, part: str) -> str:
+        """Folder for the next write of a part. A retry after a crash gets the same one again."""
+        return f"{part}/r{max(self._versions(f'live/{name}'), default=0) + 1:08d}"
+
+    def list_live(self, name: str, entries: Sequence[tuple[str, str, str]]) -> None:
+        """Commits the list; folders that neither it nor the one before names are deleted."""
+        self.commit(self.spark.createDataFrame([tuple(e) for e in entries], LIVE).coalesce(1), f"live/{name}")
+        versions = self._versions(f"live/{name}")
+        kept = {e for v in versions[-2:] for e in self._entries(name, v)}
+        for version in versions[:-2]:
+            for table, _, folder in self._entries(name, version) - kept:
+                self.drop(f"{table}/{folder}")
+            self.drop(f"live/{name}/v={version:08d}")
+
+    def _entries(self, name: str, version: int) -> set[tuple[str, str, str]]:
+        path = self._version_path(f"live/{name}", version)
+        rows = self.spark.read.schema(LIVE).parquet(path).collect() if self.exists(f"{path}/_SUCCESS") else []
+        return {tuple(r) for r in rows}
+
+    def read_folders(self, table: str, folders: Sequence[str], schema: StructType) -> DataFrame:
+        if not folders:
+            return empty_table(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path(table)}/{f}" for f in sorted(folders)])
+
     # loads: one folder per load ----------------------------------------------
 
     def write_load(self, df: DataFrame, table: str, lo: str) -> None:
         """Adds or replaces the load that starts at ``lo``."""
-        df.write.mode("overwrite").parquet(f"{self.path(table)}/load={load_id(lo)}")
+        self._write_load(df, table, lo, [e for e in self.live(table) if e[1] != load_id(lo)])
 
     def write_loads_anew(self, df: DataFrame, table: str) -> None:
-        """Replaces the whole table by one first load. ``df`` must not read the table."""
-        self.drop(table)
-        self.write_load(df, table, "")
+        """Replaces the whole table by one first load; ``df`` may read it."""
+        self._write_load(df, table, "", [])
+
+    def _write_load(self, df: DataFrame, table: str, lo: str, others: list[tuple[str, str, str]]) -> None:
+        folder = self.new_part(table, table, f"load={load_id(lo)}")
+        df.write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
+        self.list_live(table, [*others, (table, load_id(lo), folder)])
 
     def drop(self, table: str) -> None:
         path = self.path(table)
@@ -68,15 +107,18 @@ class Store:
         self, table: str, schema: StructType, since: str | None = None, before: str | None = None
     ) -> DataFrame:
         """All loads, or those that start at ``since`` or later and below ``before``."""
-        loads = [n[5:] for n in self._children(self.path(table)) if n.startswith("load=")]
-        if since is not None:
-            loads = [n for n in loads if n >= load_id(since)]
-        if before is not None:
-            loads = [n for n in loads if n < before]
-        if not loads:
-            return empty_table(self.spark, schema)
-        folders = [f"{self.path(table)}/load={n}" for n in sorted(loads)]
-        return self.spark.read.schema(schema).parquet(*folders)
+        chosen = [
+            folder for _, load, folder in self.live(table)
+            if (since is None or load >= load_id(since)) and (before is None or load < before)
+        ]
+        return self.read_folders(table, chosen, schema)
+
+    def live_path(self, table: str) -> str:
+        """The live folders of a table of loads as one path."""
+        return self.glob(table, [folder for _, _, folder in self.live(table)])
+
+    def glob(self, table: str, folders: Sequence[str]) -> str:
+        return f"{self.path(table)}/" + (folders[0] if len(folders) == 1 else "{" + ",".join(sorted(folders)) + "}")
 
     def write_partitions(self, df: DataFrame, table: str, columns: Sequence[str]) -> None:
         """Replaces the partitions present in ``df`` and keeps all others.
@@ -96,6 +138,10 @@ class Store:
         return [n[len(column) + 1 :] for n in names if n.startswith(f"{column}=")]
 
     def read_partitions(self, table: str, schema: StructType) -> DataFrame:
+        """A table of parts: the live ones where a list names them, else all that are there."""
+        listed = [folder for name, _, folder in self.live("gold") if name == table]
+        if listed:
+            return self.read_folders(table, listed, schema)
         if not self.exists(self.path(table)):
             return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.names)
@@ -129,11 +175,12 @@ class Store:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop_old_versions(self, table: str, keep: int = 2) -> None:
-        """Deletes versions nobody reads any more; the newest ``keep`` stay."""
+    def drop_old_versions(self, table: str, keep: int = 2, but: Sequence[str] = ()) -> None:
+        """Deletes versions nobody reads any more; the newest ``keep`` stay, and folders in ``but``."""
         for version in self._versions(table)[:-keep]:
             path = self._version_path(table, version)
-            self._fs(path).delete(self._hadoop_path(path), True)
+            if path.rpartition("/")[2] not in but:
+                self._fs(path).delete(self._hadoop_path(path), True)
 
     # state -------------------------------------------------------------------
 
