@@ -59,7 +59,7 @@ def replace_where(target: DataFrame, source: DataFrame, key: str, values: DataFr
     """``target`` without the rows whose ``key`` is one of ``values`` (NULL included), and all of ``source``.
 
     An update-or-insert for a source that holds every row of the keys it touches. Target and source
-    are read once; with few values, as days of a calendar, the target is not shuffled.
+    are read once; with values to broadcast, as days of a calendar, the target is not shuffled.
     """
     gone = values.select(F.col(key).alias("_gone"))
     kept = target.join(gone, target[key].eqNullSafe(F.col("_gone")), "left_anti")

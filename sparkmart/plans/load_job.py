@@ -349,7 +349,8 @@ def _write_fact_grain(
         target = target.withColumn(PART, name) if any(e[1] in parts for e in stored) else target.withColumn(PART, F.lit(""))
         days = dims[DIM_DATE.name].select(DIM_DATE.nk, DIM_DATE.sk)
         keys = stage(touched.join(days, DIM_DATE.nk, "left").select(DIM_DATE.sk))
-        grain = replace_where(target, grain, DIM_DATE.sk, keys)
+        # Codes have five digits, so there are 100,000 days at most.
+        grain = replace_where(target, grain, DIM_DATE.sk, F.broadcast(keys))
     folder = store.new_part("gold", "fact_grain", "days").replace("/", "-")
     # Gathers a part's rows into few files and still splits a large part.
     grain.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(f"{store.path('fact_grain')}/{folder}")

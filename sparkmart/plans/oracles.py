@@ -223,6 +223,24 @@ from sales where {_ANY_BAD}""",
        count(*) filter (bad) as n_rejected,
        count(*) filter (not bad and Date_ID > '{LOAD_BOUND}') as n_open
 from checked group by folder""",
+    "file_accounts": _with(SALES)
+    + f""", placed as (select *, ({_ANY_BAD}) as bad,
+       case when o_orderpriority = '5-LOW' then 'b' when Date_ID <= '{LOAD_BOUND}' then 'a' else 'c' end as folder,
+       (select max(Date_ID) from sales where Date_ID <= '{LOAD_BOUND}' and o_orderpriority <> '5-LOW' and not ({_ANY_BAD})) as reached
+  from sales)
+select folder, count(*) as n_received, count(*) filter (bad) as n_rejected,
+       count(*) filter (not bad and folder <> 'a' and Date_ID <= reached) as n_late,
+       count(*) filter (not bad and Date_ID > reached) as n_open,
+       count(*) filter (not bad and folder = 'a') as n_gold,
+       cast(0 as bigint) as n_missing
+from placed group by folder""",
+    "typed_source": _with(SALES) + f"select {_BRONZE} from sales where o_orderpriority <> '5-LOW'",
+    "late_files_star": _with(SALES)
+    + "select Revenue, Units_Sold, Branch_ID, Dealer_ID, Model_ID, Date_ID from sales",
+    "late_files_grain": _with(SALES)
+    + """select cast(sum(Revenue) as bigint) as Revenue, cast(sum(Units_Sold) as bigint) as Units_Sold,
+       Branch_ID, Dealer_ID, Model_ID, Date_ID, Year, Month
+from sales group by Branch_ID, Dealer_ID, Model_ID, Date_ID, Year, Month""",
     "hwm_current": _with(SALES) + "select max(Date_ID) as max_date from sales",
     "hwm_window": _with(SALES)
     + f"select {_BRONZE} from sales where Date_ID > '{LOAD_BOUND}'"

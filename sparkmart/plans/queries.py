@@ -15,6 +15,7 @@ from sparkmart.operators import checks, conform, dims, extract, fact, marts, sil
 from sparkmart.operators.keys import assign_keys, next_base
 from sparkmart.plans import load_job
 from sparkmart.schema import (
+    BRONZE,
     BRONZE_COLUMNS,
     DIM_BRANCH,
     DIM_DATE,
@@ -187,6 +188,8 @@ def conform_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_csv(df: DataFrame, path: str) -> None:
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "enforceSchema"}
+    # A writer trims unless told otherwise.
+    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     df.write.options(**options).mode("append").csv(path)
 
 
@@ -231,6 +234,66 @@ def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts.groupBy(folder).agg(*[F.sum(c).alias(c) for c in counts])
 
 
+def _arrivals(spark: SparkSession, sf_dir: str, store: Store) -> list[str]:
+    """Folders of files in three arrivals: early days, more of the same days with blanks around the codes, later days."""
+    feed = stage(raw_feed(spark, sf_dir))
+    early, odd = F.col("Date_ID") <= LOAD_BOUND, F.col("Units_Sold").cast("int") % 2 == 1
+    padded = feed.filter(early & ~odd).withColumn("Date_ID", F.concat(F.lit(" "), "Date_ID", F.lit("  ")))
+    parts = {"a": feed.filter(early & odd), "b": padded, "c": feed.filter(~early)}
+    for name, part in parts.items():
+        _write_csv(part, store.path(name))
+    return [store.path(name) for name in parts]
+
+
+def _by_files(spark: SparkSession, sf_dir: str, fact_mode: str) -> dict[str, DataFrame]:
+    store = Store(spark, new_folder(spark))
+    for folder in _arrivals(spark, sf_dir, store):
+        load_job.run(spark, store.root, [folder], fact_mode=fact_mode, extract_by="files")
+    return load_job.gold(store)
+
+
+def late_files_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrivals, the second one of days that gold had already reached: all of it gets there."""
+    tables = _by_files(spark, sf_dir, "rows")
+    return _with_natural_keys(tables["fact_sales"], tables).select(*MEASURES, *NATURAL_KEYS)
+
+
+def late_files_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same at the 4-key grain: days that get more rows are summed from all of them."""
+    tables = _by_files(spark, sf_dir, "grain")
+    return _with_natural_keys(tables["fact_grain"], tables).select(*MEASURES, *NATURAL_KEYS, *load_job.MONTH)
+
+
+def file_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the rows of three arrivals are, per folder; the first is in gold, the others only landed."""
+    store = Store(spark, new_folder(spark))
+    named = stage(dirty_raw_feed(spark, sf_dir).replace({"": "-"}, subset=["Day"]))
+    early, low = F.col("Date_ID") <= LOAD_BOUND, F.col("DealerName") == "5-LOW"
+    for name, part in (("a", early & ~low), ("b", low), ("c", ~early & ~low)):
+        _write_csv(named.filter(part), store.path(name))
+        if name == "a":
+            load_job.run(spark, store.root, [store.path(name)])
+        else:
+            load_job.land(store, store.path(name))
+    folder = F.element_at(F.split("source_path", "/"), -2).alias("folder")
+    counts = ["n_received", "n_rejected", "n_late", "n_open", "n_gold", "n_missing"]
+    return load_job.file_accounts(store).groupBy(folder).agg(*[F.sum(c).alias(c) for c in counts])
+
+
+def typed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after two extracts of a typed source with padded and malformed date codes."""
+    feed = sales(spark, sf_dir, [*BRONZE_COLUMNS, "o_orderpriority"])
+    code = F.col("Date_ID")
+    odd = F.when(F.col("o_orderpriority") == "5-LOW", F.lower(code)).when(
+        F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit(" "), code, F.lit(" "))
+    )
+    source = stage(feed.withColumn("Date_ID", F.coalesce(odd, code)))
+    store = Store(spark, new_folder(spark))
+    load_job.extract_increment(store, source.filter(F.upper(F.trim("Date_ID")) <= LOAD_BOUND))
+    load_job.extract_increment(store, source)
+    return store.read_loads("bronze", BRONZE)
+
+
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through the file stream: two arrivals, three starts."""
     store = Store(spark, new_folder(spark))
@@ -563,6 +626,10 @@ QUERIES: dict[str, Query] = {
         csv_landing,
         csv_landing_rejects,
         landing_accounts,
+        file_accounts,
+        typed_source,
+        late_files_star,
+        late_files_grain,
         stream_landing,
         hwm_current,
         hwm_window,
