@@ -1,18 +1,20 @@
 """Removal of runs of lines that occurred before, found by winnowing over line hashes.
 
 Only lines with a word count. A gram is the shortest run of lines from some line on with
-``GRAM_WORDS`` words or more, a window the shortest with ``RUN_WORDS`` or more. Of each
-window the gram with the smallest hash is a fingerprint, so two runs of equal lines with
-that many words share one, wherever they begin. Each fingerprint's first place, by
-(doc_id, row, line), is joined to its other places; from there the match is extended line
-by line both ways, and the later of the two runs is deleted.
+``GRAM_WORDS`` words or more; a window the shortest run from some line on, or up to some line, with
+``RUN_WORDS`` or more. Of each window the gram with the smallest hash is its fingerprint, so
+two runs of equal lines with that many words share one, wherever they begin.
 
-A first place may have other neighbours than a later one, so extension alone can stop early.
-So all windows are looked up as well, also those that are shortest up to a line, and the lines
-of each that occurred before are deleted.
+A place of a fingerprint goes by two keys: the gram alone, and the gram within the window that chose
+it. Each is joined to the first place of its key, by (doc_id, row, line). The second key matters
+where the gram is frequent: the first place of all may have other neighbours, the first one within the same
+window has none. From the earlier place the match is extended line by line both ways, and the
+later of the two runs is deleted. Extension reads the ``BLOCK`` lines around the two places, and
+``MARGIN`` more, not whole documents; a run over several blocks is found in each.
 
-So of a run of ``RUN_WORDS`` words that occurred before all lines go, nothing shorter than
-``GRAM_WORDS`` is deleted, and every deleted line has an equal line before it, so one that stays.
+So of a run of ``RUN_WORDS`` words that occurred before all lines go, as each lies in a window of the run;
+nothing shorter than ``GRAM_WORDS`` is deleted, and every deleted line has an equal line before it, so
+one that stays.
 
 * A null or empty text has no lines and stays as it is; null ids come last in the order.
 * Of equal rows the first keeps its lines. An empty table gives no row.
@@ -21,18 +23,21 @@ So of a run of ``RUN_WORDS`` words that occurred before all lines go, nothing sh
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import WORD, fresh, numbered, record_batches, written
 
 GRAM_WORDS, RUN_WORDS = 40, 50
+#: A window has no more lines than words, so the margin holds any window around a place.
+BLOCK, MARGIN = 512, 64
 _WORD = re.compile(WORD)
 
 
@@ -66,39 +71,27 @@ def _run_ends(words: list[int], least: int) -> list[int]:
 
 
 def fingerprints(hashes: list[int], words: list[int]) -> list[tuple[int, int]]:
-    """(gram hash, first line) of the smallest gram of each window."""
-    data = np.array(hashes, "<i8").tobytes()
-    grams = [(_hash(data[8 * a : 8 * b + 8]), a) for a, b in enumerate(_run_ends(words, GRAM_WORDS))]
-    gram_ends, found, at = _run_ends(words, GRAM_WORDS), set(), 0
-    for start, end in enumerate(_run_ends(words, RUN_WORDS)):
-        at = max(at, start)
-        while at + 1 < len(grams) and gram_ends[at + 1] <= end:
-            at += 1
-        found.add(min(grams[start : at + 1]))
-    return sorted(found, key=lambda g: g[1])
-
-
-def windows(lines: list[int], hashes: list[int], words: list[int]) -> list[tuple[int, int, int]]:
-    """(hash, first line number, last) of each window, and of the shortest run with as many words up to each line.
-
-    The latter hold the last lines of a run, from which no window begins that ends within it.
-    """
+    """(key, line) of the places: the smallest gram of each window, by itself and together with the window."""
     data, top = np.array(hashes, "<i8").tobytes(), len(words) - 1
-    both = {*enumerate(_run_ends(words, RUN_WORDS)), *((top - b, top - a) for a, b in enumerate(_run_ends(words[::-1], RUN_WORDS)))}
-    return [(_hash(data[8 * a : 8 * b + 8]), lines[a], lines[b]) for a, b in sorted(both)]
+    ends = _run_ends(words, GRAM_WORDS)
+    grams = [(_hash(data[8 * a : 8 * b + 8]), a) for a, b in enumerate(ends)]
+    up_to = ((top - b, top - a) for a, b in enumerate(_run_ends(words[::-1], RUN_WORDS)))
+    found = set()
+    for start, end in {*enumerate(_run_ends(words, RUN_WORDS)), *up_to}:
+        least = min(grams[start : bisect.bisect_right(ends, end)])
+        found.add(least)
+        found.add((_hash(b"window" + data[8 * start : 8 * end + 8]), least[1]))
+    return sorted(found, key=lambda g: (g[1], g[0]))
 
 
-_LINES = (
-    "row long, doc_id long, lines binary, hashes binary, marks array<struct<gram: bigint, line: int>>, "
-    "windows array<struct<gram: bigint, line: int, last: int>>"
-)
+_BLOCKS = "row long, block int, doc_id long, start int, lines binary, hashes binary, marks array<struct<key: bigint, line: int>>"
 
 
 def _line_table(rows: DataFrame, row: str) -> DataFrame:
-    mark = pa.struct([("gram", pa.int64()), ("line", pa.int32())])
-    window = pa.struct([("gram", pa.int64()), ("line", pa.int32()), ("last", pa.int32())])
+    """Blocks of lines of the documents with a place: line numbers and hashes from ``start`` on, and the block's places."""
+    mark = pa.struct([("key", pa.int64()), ("line", pa.int32())])
     schema = pa.schema(
-        [("row", pa.int64()), ("doc_id", pa.int64()), ("lines", pa.binary()), ("hashes", pa.binary()), ("marks", pa.list_(mark)), ("windows", pa.list_(window))]
+        [("row", pa.int64()), ("block", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int32()), ("lines", pa.binary()), ("hashes", pa.binary()), ("marks", pa.list_(mark))]
     )
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,15 +99,17 @@ def _line_table(rows: DataFrame, row: str) -> DataFrame:
             for batch in batches:
                 for number, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                     lines, hashes, words = lines_of(text)
-                    marks = [{"gram": g, "line": a} for g, a in fingerprints(hashes, words)]
-                    if marks:
-                        whole = [{"gram": g, "line": a, "last": b} for g, a, b in windows(lines, hashes, words)]
-                        packed = (np.array(lines, "<i4"), np.array(hashes, "<i8"))
-                        yield number, doc_id, *(p.tobytes() for p in packed), marks, whole
+                    of_block: dict[int, list[dict]] = {}
+                    for key, line in fingerprints(hashes, words):
+                        of_block.setdefault(line // BLOCK, []).append({"key": key, "line": line})
+                    for block, marks in of_block.items():
+                        start, end = max(0, block * BLOCK - MARGIN), (block + 1) * BLOCK + MARGIN
+                        packed = (np.array(lines[start:end], "<i4"), np.array(hashes[start:end], "<i8"))
+                        yield number, block, doc_id, start, *(p.tobytes() for p in packed), marks
 
         return record_batches(table(), schema)
 
-    return written(rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long"), "text").mapInArrow(hashed, _LINES))
+    return written(rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long"), "text").mapInArrow(hashed, _BLOCKS))
 
 
 def _extended(own: np.ndarray, other: np.ndarray, at: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -135,35 +130,27 @@ def _extended(own: np.ndarray, other: np.ndarray, at: list[tuple[int, int]]) ->
 
 
 def _later(places: DataFrame) -> DataFrame:
-    """``places`` (row, doc_id, gram, line and others) that are not the first of their gram, which is added as ``first``."""
+    """``places`` (row, doc_id, key, line) that are not the first of their key, which is added as ``first``."""
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "line")
-    # Partial minima come before the shuffle, so a gram of a third of all texts is a row of each task.
-    first = places.groupBy("gram").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")).where("places > 1")
-    return places.join(first.select("gram", "first"), "gram").where(
+    # Partial minima come before the shuffle, so a key of a third of all texts is a row of each task.
+    first = places.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")).where("places > 1")
+    return places.join(first.select("key", "first"), "key").where(
         (F.col("first.row") != F.col("row")) | (F.col("first.line") != F.col("line"))
     )
 
 
-def _added(runs: list[tuple], whole: list[tuple]) -> list[tuple]:
-    """``runs`` (first, last, first_doc_id) and those of ``whole`` not within one of them, overlapping ones of a document merged."""
-    # Sorted by start, a run covers another if the furthest end so far does.
-    covers = sorted(runs, key=lambda r: r[0])
+def _merged(runs: list[tuple]) -> list[tuple]:
+    """Runs (first, last, first_doc_id) with those that overlap, of one document, as one."""
     merged: list[tuple] = []
     open_: dict[int | None, int] = {}
-    at, furthest = 0, -1
-    for first, last, doc in sorted(whole, key=lambda r: r[:2]):
-        while at < len(covers) and covers[at][0] <= first:
-            furthest = max(furthest, covers[at][1])
-            at += 1
-        if last <= furthest:
-            continue
+    for first, last, doc in sorted(runs, key=lambda r: r[:2]):
         k = open_.get(doc)
         if k is not None and first <= merged[k][1]:
             merged[k] = (merged[k][0], max(last, merged[k][1]), doc)
         else:
             open_[doc] = len(merged)
             merged.append((first, last, doc))
-    return sorted({*runs, *merged}, key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0))
+    return merged
 
 
 def repeated_runs(rows: DataFrame, row: str) -> DataFrame:
@@ -173,47 +160,49 @@ def repeated_runs(rows: DataFrame, row: str) -> DataFrame:
     first and last are line numbers from 0, both deleted.
     """
     table = _line_table(rows, row)
-    marks = table.select("row", "doc_id", F.explode("marks").alias("mark")).select("row", "doc_id", "mark.gram", "mark.line")
-    later = _later(marks)
-    # A text has at most one place for each of its lines, so the lists are no longer than it.
-    pairs = later.groupBy("row", F.col("first.row").alias("there")).agg(
-        F.collect_list(F.struct("line", F.col("first.line").alias("there_line"))).alias("at")
+    marks = table.select("row", "doc_id", F.explode("marks").alias("mark")).select("row", "doc_id", "mark.*")
+
+    def block(line: str) -> Column:
+        return F.floor(F.col(line) / BLOCK).cast("int")
+
+    # A block has at most two places for each of its lines and windows, so the lists are no longer than it.
+    pairs = (
+        _later(marks)
+        .select("row", block("line").alias("block"), F.col("first.row").alias("there"), block("first.line").alias("there_block"), "line", F.col("first.line").alias("there_line"))
+        .groupBy("row", "block", "there", "there_block")
+        .agg(F.collect_set(F.struct("line", "there_line")).alias("at"))
+    )
+    there = table.select(
+        F.col("row").alias("there"), F.col("block").alias("there_block"), F.col("doc_id").alias("first_doc_id"),
+        F.col("start").alias("there_start"), F.col("hashes").alias("there_hashes"),
     )
-    there = table.select(F.col("row").alias("there"), F.col("doc_id").alias("first_doc_id"), F.col("hashes").alias("there_hashes"))
-    both = pairs.join(there, "there").join(table.select("row", "lines", "hashes"), "row")
+    both = pairs.join(there, ["there", "there_block"]).join(table.select("row", "block", "start", "lines", "hashes"), ["row", "block"])
     schema = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("first_doc_id", pa.int64())])
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs():
             for batch in batches:
-                for number, doc, at, lines, own, other in zip(*(c.to_pylist() for c in batch.columns)):
+                for number, doc, at, start, there_start, lines, own, other in zip(*(c.to_pylist() for c in batch.columns)):
                     lines = np.frombuffer(lines, "<i4")
-                    places = [(p["line"], p["there_line"]) for p in at]
+                    places = [(p["line"] - start, p["there_line"] - there_start) for p in at]
                     for a, b in _extended(np.frombuffer(own, "<i8"), np.frombuffer(other, "<i8"), places):
                         yield number, int(lines[a]), int(lines[b]), doc
 
         return record_batches(runs(), schema)
 
-    found = both.select("row", "first_doc_id", "at", "lines", "hashes", "there_hashes").mapInArrow(
+    found = both.select("row", "first_doc_id", "at", "start", "there_start", "lines", "hashes", "there_hashes").mapInArrow(
         extend, "row long, first int, last int, first_doc_id long"
     )
-    places = table.select("row", "doc_id", F.explode("windows").alias("window")).select("row", "doc_id", "window.*")
-    whole = _later(places).select("row", F.col("line").alias("first"), "last", F.col("first.doc_id").alias("first_doc_id"))
-    run = F.struct("first", "last", "first_doc_id")
-    # A text has no more runs of each kind than lines.
-    both = found.withColumn("whole", F.lit(False)).unionByName(whole.withColumn("whole", F.lit(True)))
-    lists = both.groupBy("row").agg(
-        F.collect_set(F.when(~F.col("whole"), run)).alias("runs"), F.collect_set(F.when(F.col("whole"), run)).alias("whole")
-    )
+    lists = found.groupBy("row").agg(F.collect_set(F.struct("first", "last", "first_doc_id")).alias("runs"))
     runs_type = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("first_doc_id", pa.int64())]))
     merged_schema = pa.schema([("row", pa.int64()), ("runs", runs_type)])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def merged():
             for batch in batches:
-                for number, runs, more in zip(*(c.to_pylist() for c in batch.columns)):
-                    runs, more = ([(r["first"], r["last"], r["first_doc_id"]) for r in k] for k in (runs, more))
-                    yield number, [dict(zip(("first", "last", "first_doc_id"), r)) for r in _added(runs, more)]
+                for number, runs in zip(*(c.to_pylist() for c in batch.columns)):
+                    runs = [(r["first"], r["last"], r["first_doc_id"]) for r in runs]
+                    yield number, [dict(zip(("first", "last", "first_doc_id"), r)) for r in _merged(runs)]
 
         return record_batches(merged(), merged_schema)
 

@@ -156,6 +156,23 @@ def test_all_lines_of_repeated_windows_go(spark):
         assert len(r.text.split("\n")) == (3 if r.doc_id == 0 else 2 if (r.doc_id - 1) % 3 else 6)
 
 
+def test_runs_over_many_blocks(spark):
+    """Long copies go whole, wherever they begin, though places are compared block by block."""
+    rng = random.Random(6)
+    long = [" ".join(f"l{rng.randrange(10**9)}" for _ in range(rng.choice((1, 3, 30)))) for _ in range(1800)]
+    rows = [
+        (1, "\n".join(long)), (2, "\n".join(["other words here", "", *long[300:1500], "", "the end"])),
+        (3, "\n".join(long[700:705])), (4, "\n".join(["x"] * 700 + ["y z"])),
+        (5, "\n".join([*long[1790:], "new line", *long[:600]])),
+    ]
+    cut, runs, _ = line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {r.doc_id: r.text.split("\n") for r in cut.collect()}
+    assert left[1] == long and left[2] == ["other words here", "", "", "the end"]
+    assert left[5] == ["new line"] and left[4][-1] == "y z" and len(left[4]) < 60
+    words = sum(len(x.split()) for x in long[700:705])
+    assert left[3] == ([""] if words >= line_dedup.RUN_WORDS else rows[2][1].split("\n"))
+
+
 def test_odd_lines(odd_docs):
     cut, runs, _ = line_dedup.deduplicate(odd_docs)
     rows = cut.collect()
