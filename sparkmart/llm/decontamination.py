@@ -198,7 +198,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     near = _known_size(written(ids), BROADCAST_DOCUMENTS)
     hashed = docs.select(F.col("doc_id").alias("their_id"), F.xxhash64("text").alias("their_hash"), "text")
     read = hashed.join(near, F.col("their_id").eqNullSafe(F.col("near_id")) & (F.col("their_hash") == F.col("near_hash")), "left_semi")
-    judged = _judged(alignments.join(read.dropDuplicates(["their_id", "their_hash"]), _same_document()), benchmark, item_windows, sizes)
+    # Words once per document, below the join: above it they would be made anew for each word looked up.
+    text = F.col("text")
+    texts = read.dropDuplicates(["their_id", "their_hash"]).select(
+        "their_id", "their_hash", template(text).alias("as_template"), case_free(text).alias("as_words"), raw_words(text).alias("raw")
+    )
+    judged = _judged(alignments.join(texts, _same_document()), benchmark, item_windows, sizes)
     best = F.max(F.struct("containment", "n_windows"))
     return (
         judged.groupBy("doc_id", "text_hash", "item_id")
@@ -212,7 +217,7 @@ def _same_document() -> Column:
 
 
 def _judged(found: DataFrame, benchmark: DataFrame, item_windows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The leaks among ``found`` (a document's alignments with an item, and its text), judged by its consistent alignments."""
+    """The leaks among ``found`` (a document's alignments with an item, and its words), judged by its consistent alignments."""
     slots = F.expr(
         "filter(transform(template, (w, i) -> named_struct('kind', w, 'place', at + i, 'value', lower(raw[i]))), s -> s.kind in ('0', '1', '2'))"
     )
@@ -224,9 +229,7 @@ def _judged(found: DataFrame, benchmark: DataFrame, item_windows: DataFrame, siz
     items = benchmark.select("item_id", F.explode(ways).alias("as")).select("item_id", "as.*").dropDuplicates(["item_id", "way"])
     literal = F.expr("filter(transform(item, (w, i) -> struct(i as place, w as word)), l -> l.word not in ('0', '1', '2'))")
     about = items.select("item_id", "way", literal.alias("literals")).join(values, ["item_id", "way"]).join(sizes, ["item_id", "way"])
-    read = found.join(about, ["item_id", "way"]).withColumns(
-        {"raw": raw_words(text), "words": F.when(F.col("way") == TEMPLATE, template(text)).otherwise(case_free(text))}
-    )
+    read = found.join(about, ["item_id", "way"]).withColumn("words", F.when(F.col("way") == TEMPLATE, F.col("as_template")).otherwise(F.col("as_words")))
     kept = ("doc_id", "text_hash", "item_id", "way", "item_windows", "item_words", "literals")
     # Values as hashes: of the item's, of the document's, and of the two together.
     pairs = F.expr(
