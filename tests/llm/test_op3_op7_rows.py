@@ -1,8 +1,11 @@
+import base64
+import pathlib
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 
 from sparkmart.llm import quality, queries, toxicity
 
@@ -43,6 +46,23 @@ def test_compression_bands():
     assert judge(b"short short short short")[2] and judge(b"") == (None, None, True)
 
 
+def test_bands_tell_prose_from_junk():
+    """Windows of legal prose are kept; base64 and random words of the same lengths are not."""
+    judge = quality.Compression(quality.Bands())
+    prose = (pathlib.Path(public_tokenizers.__file__).parent / "LICENSES.txt").read_bytes()
+    rng = np.random.default_rng(4)
+    signs = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    for size in (256, 399, 400, 512, 600, 700, 1000, 1024, 2000, 3000, 4096, 9000):
+        windows = [prose[a : a + size] for a in range(0, len(prose) - size, max(200, size // 2))]
+        assert all(judge(w)[2] for w in windows), size
+        for _ in range(10):
+            words = " ".join("".join(rng.choice(signs, rng.integers(3, 10))) for _ in range(size // 4))[:size]
+            junk = base64.b64encode(rng.bytes(size))[:size], base64.encodebytes(rng.bytes(size))[:size], words.encode()
+            assert not any(judge(j)[2] for j in junk), size
+    # Of wide scripts a kilobyte holds fewer characters.
+    assert judge("".join(rng.choice([chr(0x4E00 + k) for k in range(1500)], 1400)).encode())[2]
+
+
 def test_odd_documents(spark, odd_docs):
     assert quality.judge(odd_docs).count() == odd_docs.count()
     assert quality.judge(odd_docs.limit(0)).count() == 0

@@ -97,3 +97,25 @@ def test_native_plans(spark, sf_dir):
     for name in ("op2_url_filters", "op5_chat_formatting", "op8_personal_data", "op10_decontamination"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan), name
+
+
+def test_many_matches_in_one_text(spark):
+    """Places and context stay right, and the work near-linear, with matches in the ten thousands."""
+    n = 30_000
+    text = " ".join(f"é contact user{i}@host{i % 7}.org" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "a@b.c " * 3)], "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in personal_data.find(docs).collect()}
+    mails = [s for s in found[1] if s.kind == "email"]
+    assert len(mails) == n and all(text[s.start : s.end] == f"user{i}@host{i % 7}.org" for i, s in enumerate(mails))
+    assert {s.score for s in mails} == {1.0} and [(s.start, s.end) for s in found[2]] == [(0, 5), (6, 11), (12, 17)]
+
+
+def test_secrets(spark):
+    secret, github = "04dbebab91ab85687d33eeaaf9ac699e1188f962", "ghp_" + "a1B2" * 9
+    texts = {
+        1: f'token = "{secret}" and so on', 2: f"API_KEY:{secret}.", 3: f"password = '{secret}'", 4: f"see {github}!", 5: "AKIA" + "Q7X2" * 4,
+        6: f"hash {secret}", 7: "token = aaaaaaaaaaaaaaaaaaaaaaaa1", 8: "the secret: understanding everything", 9: "a key = value pair", 10: "token=",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind in ("secret", "access_key")] for r in personal_data.find(docs).collect()}
+    assert found == {1: [secret], 2: [secret + "."], 3: [secret], 4: [github], 5: [texts[5]], **{k: [] for k in range(6, 11)}}
