@@ -219,6 +219,88 @@ def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chat_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5 gives back of every conversation, without the length of its own format."""
+    return op5_chat_formatting(spark, sf_dir).drop("formatted_chars")
+
+
+CHAT_SQL = f"""
+with turns as (
+    select conv_id, turn, role, coalesce(text, '') as text from conversations
+    union all {_TRICKY.replace("L,", ",")} as t(conv_id, turn, role, text))
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+    length(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256
+from turns group by conv_id
+"""
+
+_BASE_COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op7 counts in every document, without the verdict of its bands."""
+    return op7_quality_rules(spark, sf_dir).select(*_BASE_COLUMNS)
+
+
+QUALITY_SQL = r"""
+with texts as (
+    select row_number() over () as k, doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+    from documents),
+windows as (
+    select k, i, count(*) over (partition by k, words[i], words[i + 1], words[i + 2]) as often
+    from texts, unnest(range(1, len(words) - 1)) as u(i)),
+repeated as (
+    select k, count(distinct p) as n from (select k, unnest([i, i + 1, i + 2]) as p from windows where often > 1) group by k),
+lines as (
+    select k, count(*) - count(distinct line) as n
+    from (select k, unnest(string_split(text, chr(10))) as line from texts) where regexp_matches(line, '[^\x20\x09-\x0D]') group by k),
+counted as (
+    select doc_id, len(words) as n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::bigint as word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+        coalesce(l.n, 0) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words
+    from texts t left join lines l on t.k = l.k left join repeated r on t.k = r.k)
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted
+"""
+
+
+def personal_data_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op8 finds of the base kinds in every document."""
+    return op8_personal_data(spark, sf_dir).drop("spans")
+
+
+def _kind_sql(order: int, kind: str, pattern: str, check: str) -> str:
+    found = f"regexp_extract_all(text, '{pattern}') as hits, string_split_regex(text, '{pattern}') as gaps"
+    return f"""
+    select k, {order} as o, '{kind}' as kind, start, start + length(hit) as stop from (
+        select k, hits[i] as hit, regexp_replace(hits[i], '[^0-9]', '', 'g') as digits,
+            list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) as start
+        from (select k, {found} from texts), unnest(range(1, len(hits) + 1)) as u(i)) where {check}"""
+
+
+_LUHN_SQL = """length(digits) between 12 and 19 and list_sum(list_transform(range(1, length(digits) + 1), lambda i: 
+            case when i % 2 = 1 then substr(digits, -i, 1)::integer
+                 else substr(digits, -i, 1)::integer * 2 - case when substr(digits, -i, 1)::integer > 4 then 9 else 0 end end)) % 10 = 0"""
+
+PERSONAL_SQL = rf"""
+with texts as (select row_number() over () as k, doc_id, coalesce(text, '') as text from documents),
+spans as ({" union all ".join((
+    _kind_sql(0, "email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    _kind_sql(1, "ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+              "list_max(list_transform(string_split(hit, '.'), lambda x: try_cast(x as hugeint))) <= 255"),
+    _kind_sql(2, "card", r"[0-9](?:[\x20-]?[0-9])+", _LUHN_SQL),
+    _kind_sql(3, "phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(digits) between 9 and 15"),
+))}),
+joined as (
+    select k, count(*) filter (o = 0) as n_email, count(*) filter (o = 1) as n_ip, count(*) filter (o = 2) as n_card,
+        count(*) filter (o = 3) as n_phone, string_agg(kind || ':' || start || ':' || stop, ',' order by start, o) as all_spans
+    from spans group by k)
+select doc_id, coalesce(n_email, 0) as n_email, coalesce(n_ip, 0) as n_ip, coalesce(n_card, 0) as n_card, coalesce(n_phone, 0) as n_phone,
+    sha256(coalesce(all_spans, '')) as base_sha256
+from texts left join joined on texts.k = joined.k
+"""
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
@@ -233,9 +315,16 @@ QUERIES = {
     "op11_filter_audit": op11_filter_audit,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_document_fingerprints": op13_document_fingerprints,
+    # Columns of the above that SQL can express.
+    "chat_digests": chat_digests,
+    "quality_counts": quality_counts,
+    "personal_data_base": personal_data_base,
 }
 
 ORACLES: dict[str, str] = {
     "op2_url_filters": OP2_SQL,
     "op11_filter_audit": OP11_SQL,
+    "chat_digests": CHAT_SQL,
+    "quality_counts": QUALITY_SQL,
+    "personal_data_base": PERSONAL_SQL,
 }
