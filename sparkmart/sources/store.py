@@ -30,6 +30,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._lists: dict[str, list[tuple[str, str, str]]] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -58,7 +59,14 @@ class Store:
 
     def live(self, name: str) -> list[tuple[str, str, str]]:
         """(table, part, folder) of the newest list ``name``, a row per live folder."""
-        return [tuple(r) for r in self.read_version(f"live/{name}", LIVE).collect()]
+        path = self.current_path(f"live/{name}")
+        return [] if path is None else self._entries(path)
+
+    def _entries(self, path: str) -> list[tuple[str, str, str]]:
+        # A version never changes once it is complete.
+        if path not in self._lists:
+            self._lists[path] = [tuple(r) for r in self.spark.read.schema(LIVE).parquet(path).collect()]
+        return self._lists[path]
 
     def new_part(self, name: str, table: str, part: str) -> str:
         """Folder for the next write of a part. A retry after a crash gets the same one again."""
@@ -66,18 +74,15 @@ class Store:
 
     def list_live(self, name: str, entries: Sequence[tuple[str, str, str]]) -> None:
         """Commits the list; folders that neither it nor the one before names are deleted."""
-        self.commit(self.spark.createDataFrame([tuple(e) for e in entries], LIVE).coalesce(1), f"live/{name}")
-        versions = self._versions(f"live/{name}")
-        kept = {e for v in versions[-2:] for e in self._entries(name, v)}
-        for version in versions[:-2]:
-            for table, _, folder in self._entries(name, version) - kept:
-                self.drop(f"{table}/{folder}")
-            self.drop(f"live/{name}/v={version:08d}")
-
-    def _entries(self, name: str, version: int) -> set[tuple[str, str, str]]:
-        path = self._version_path(f"live/{name}", version)
-        rows = self.spark.read.schema(LIVE).parquet(path).collect() if self.exists(f"{path}/_SUCCESS") else []
-        return {tuple(r) for r in rows}
+        table = f"live/{name}"
+        self.commit(self.spark.createDataFrame([tuple(e) for e in entries], LIVE).coalesce(1), table)
+        paths = [self._version_path(table, v) for v in self._versions(table)]
+        complete = [p for p in paths if self.exists(f"{p}/_SUCCESS")]
+        kept = {e for p in complete[-2:] for e in self._entries(p)} if len(complete) > 2 else set()
+        for path in complete[:-2]:
+            for of, _, folder in set(self._entries(path)) - kept:
+                self.drop(f"{of}/{folder}")
+            self.drop(path.removeprefix(f"{self.root}/"))
 
     def read_folders(self, table: str, folders: Sequence[str], schema: StructType) -> DataFrame:
         if not folders:
