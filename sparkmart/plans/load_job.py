@@ -38,6 +38,7 @@ from sparkmart.schema import (
     DimSpec,
 )
 from sparkmart.sources.files import read_raw_sales, with_source
+from sparkmart.sources.records import read_raw_by_splits
 from sparkmart.sources.staging import stage, staging_area
 from sparkmart.sources.store import Store, load_id
 
@@ -64,7 +65,11 @@ def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], object]]) ->
 
 def write_landed(store: Store, raw: DataFrame, landing: str) -> None:
     """Typed rows and rejects in one pass, in one folder per full path of a source file."""
-    landed = conform.land_columns(with_source(raw), "source_path", "source_file")
+    if "source_path" in raw.columns:
+        raw = raw.withColumn("source_file", F.md5(F.col("source_path").cast("binary")))
+    else:
+        raw = with_source(raw)
+    landed = conform.land_columns(raw, "source_path", "source_file")
     store.write_partitions(landed.withColumn("landing", F.lit(landing)), SOURCE_TABLE, ["source_file"])
 
 
@@ -72,14 +77,18 @@ def land(store: Store, path: str, strict: bool = False, multi_line: bool = False
     """Appends a delimited file to the source table; the same file again replaces itself.
 
     A file is known by its full path. One that is landed again without a row loses those it had.
+    ``multi_line`` allows line breaks inside quotes; the file is then read by splits as well.
     """
-    raw = read_raw_sales(store.spark, path, multi_line, corrupt=CORRUPT)
+    raw = read_raw_sales(store.spark, path, corrupt=CORRUPT)
+    files = raw.inputFiles()
+    if multi_line:
+        raw = stage(read_raw_by_splits(store.spark, path))
     if strict:
         conform.require_clean(raw)
     landing = uuid.uuid4().hex
     write_landed(store, raw, landing)
     # The list of files writes local paths with three slashes, the metadata column with one.
-    account_landed(store, landing, [re.sub("^file:/+", "file:/", f) for f in raw.inputFiles()])
+    account_landed(store, landing, [re.sub("^file:/+", "file:/", f) for f in files])
 
 
 def _folder(path: str) -> str:
@@ -465,8 +474,9 @@ def run(
     if extract_by not in ("window", "files") or (source is not None and extract_by == "files"):
         raise ValueError(f"no extract by {extract_by} here")
     store = Store(spark, root)
-    for path in files:
-        land(store, path, strict, multi_line)
+    with staging_area(spark):
+        for path in files:
+            land(store, path, strict, multi_line)
     if source is None:
         extract_landed(store, extract_by)
     else:
