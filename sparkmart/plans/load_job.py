@@ -37,7 +37,7 @@ from sparkmart.schema import (
     SILVER_COLUMNS,
     DimSpec,
 )
-from sparkmart.sources.files import read_raw_sales, with_source
+from sparkmart.sources.files import read_raw_by_name, read_raw_sales, with_source
 from sparkmart.sources.records import read_raw_by_splits
 from sparkmart.sources.staging import stage, staging_area
 from sparkmart.sources.store import Store, load_id
@@ -73,16 +73,21 @@ def write_landed(store: Store, raw: DataFrame, landing: str) -> None:
     store.write_partitions(landed.withColumn("landing", F.lit(landing)), SOURCE_TABLE, ["source_file"])
 
 
-def land(store: Store, path: str, strict: bool = False, multi_line: bool = False) -> None:
+def land(store: Store, path: str, strict: bool = False, multi_line: bool = False, by_name: bool = False) -> None:
     """Appends a delimited file to the source table; the same file again replaces itself.
 
     A file is known by its full path. One that is landed again without a row loses those it had.
-    ``multi_line`` allows line breaks inside quotes; the file is then read by splits as well.
+    ``multi_line`` allows line breaks inside quotes; the file is then read by splits as well. ``by_name`` takes
+    columns by the header's names, in whatever order; without it another order is an error.
     """
+    if multi_line and by_name:
+        raise ValueError("columns by name and line breaks inside quotes do not go together")
     raw = read_raw_sales(store.spark, path, corrupt=CORRUPT)
     files = raw.inputFiles()
     if multi_line:
         raw = stage(read_raw_by_splits(store.spark, path))
+    elif by_name:
+        raw = read_raw_by_name(store.spark, path, CORRUPT)
     if strict:
         conform.require_clean(raw)
     landing = uuid.uuid4().hex
@@ -466,6 +471,7 @@ def run(
     extract_by: str = "window",
     strict: bool = False,
     multi_line: bool = False,
+    by_name: bool = False,
 ) -> Store:
     """Lands ``files`` (or takes ``source``), extracts what is open and updates gold.
 
@@ -476,7 +482,7 @@ def run(
     store = Store(spark, root)
     with staging_area(spark):
         for path in files:
-            land(store, path, strict, multi_line)
+            land(store, path, strict, multi_line, by_name)
     if source is None:
         extract_landed(store, extract_by)
     else:

@@ -27,6 +27,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                         help="files also takes landed rows below the bound that no load has")
     parser.add_argument("--strict", action="store_true", help="an error instead of rejects")
     parser.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
+    parser.add_argument("--by-name", action="store_true", help="columns by the header's names, in any order")
     parser.add_argument("--publish", metavar="DATABASE", help="catalog database for gold")
     parser.add_argument("--validate", action="store_true", help="show the checks afterwards")
     args = parser.parse_args(argv)
@@ -35,7 +36,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     mode = "incremental" if args.incremental_flag == "1" else "initial"
     source = read_table(spark, args.table) if args.table else None
     store = load_job.run(
-        spark, args.root, args.file, source, mode, args.fact_mode, args.extract, args.strict, args.multi_line
+        spark, args.root, args.file, source, mode, args.fact_mode, args.extract, args.strict, args.multi_line, args.by_name
     )
     if args.publish:
         load_job.publish(store, args.publish)

@@ -199,6 +199,10 @@ def _integrity(spec: DimSpec, column: str) -> str:
 ORACLES: dict[str, str] = {
     "conform_types": _LANDED,
     "csv_landing": _LANDED,
+    "by_name_landing": _LANDED,
+    "multi_line_landing": _LANDED.replace(
+        "as Product_Name)", "as Product_Name, Branch_Name || ',' || chr(10) || ' \"' || Model_ID || '\"' as Branch_Name)"
+    ),
     "stream_landing": _LANDED,
     "conform_accepted": _with(SALES) + f"select {_BRONZE} from sales where not ({_ANY_BAD})",
     "conform_rejects": _with(SALES)

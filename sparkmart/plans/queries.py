@@ -234,6 +234,26 @@ def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts.groupBy(folder).agg(*[F.sum(c).alias(c) for c in counts])
 
 
+def multi_line_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited files with line breaks inside quotes, read by splits."""
+    store = Store(spark, new_folder(spark))
+    broken = F.concat("BranchName", F.lit(',\n "'), "Model_ID", F.lit('"'))
+    _write_csv(raw_feed(spark, sf_dir).withColumn("BranchName", broken), store.path("incoming"))
+    load_job.land(store, store.path("incoming"), multi_line=True)
+    return load_job.source_table(store)
+
+
+def by_name_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders of files whose columns stand in different orders land alike."""
+    store = Store(spark, new_folder(spark))
+    feed = stage(raw_feed(spark, sf_dir))
+    early = F.col("Date_ID") <= LOAD_BOUND
+    _write_csv(feed.filter(early), store.path("incoming/a"))
+    _write_csv(feed.filter(~early).select(*sorted(RAW_COLUMNS), F.lit("more").alias("Comment")), store.path("incoming/b"))
+    load_job.land(store, store.path("incoming/*"), by_name=True)
+    return load_job.source_table(store)
+
+
 def _arrivals(spark: SparkSession, sf_dir: str, store: Store) -> list[str]:
     """Folders of files in three arrivals: early days, more of the same days with blanks around the codes, later days."""
     feed = stage(raw_feed(spark, sf_dir))
@@ -625,6 +645,8 @@ QUERIES: dict[str, Query] = {
         conform_rejects,
         csv_landing,
         csv_landing_rejects,
+        multi_line_landing,
+        by_name_landing,
         landing_accounts,
         file_accounts,
         typed_source,

@@ -30,6 +30,37 @@ def read_raw_sales(
     return reader.option("columnNameOfCorruptRecord", corrupt).schema(with_corrupt(corrupt)).csv(path)
 
 
+def layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by the column names of their header lines; only first splits are read."""
+    lines = spark.read.option("lineSep", "\n").text(path).filter(F.col("_metadata.file_block_start") == 0)
+    heads = lines.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"), "value")
+    first = F.regexp_replace(F.min_by("value", "place"), '[\r"\ufeff]', "")
+    names = F.transform(F.split(first, CSV_OPTIONS["sep"], -1), F.trim)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in heads.groupBy("file").agg(names.alias("names")).collect():
+        found.setdefault(tuple(row["names"]), []).append(row["file"])
+    return found
+
+
+def read_raw_by_name(spark: SparkSession, path: str, corrupt: str) -> DataFrame:
+    """Like ``read_raw_sales`` with ``corrupt``, each file's columns taken by the names in its header.
+
+    Files of one layout are one scan. Other columns than the twelve are dropped; a missing or repeated one is an error.
+    Adds ``source_path``.
+    """
+    scans = None
+    for names, files in sorted(layouts(spark, path).items()):
+        if any(names.count(c) != 1 for c in RAW.names) or len(set(names)) < len(names):
+            raise ValueError(f"header without one column each of {', '.join(RAW.names)}: {files[0]}")
+        layout = StructType([*[StructField(n, StringType()) for n in names], StructField(corrupt, StringType())])
+        reader = spark.read.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", corrupt).schema(layout)
+        scan = reader.csv(sorted(files)).select(*RAW.names, corrupt, F.col("_metadata.file_path").alias("source_path"))
+        scans = scan if scans is None else scans.unionByName(scan)
+    if scans is None:
+        return empty_table(spark, StructType([*with_corrupt(corrupt), StructField("source_path", StringType())]))
+    return scans
+
+
 def with_corrupt(name: str) -> StructType:
     """The raw layout and a column for rows that do not fit it."""
     return StructType([*RAW.fields, StructField(name, StringType())])

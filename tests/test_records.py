@@ -78,3 +78,20 @@ def test_landing_by_splits_from_the_command_line(spark, tmp_path, small_splits):
     assert load_job.gold(store)["fact_sales"].count() == 120
     assert tuples(load_job.source_table(store).select("Branch_Name").distinct()) == [("North\nEast, \\ upper",)]
     assert [r.n_missing for r in load_job.file_accounts(store).collect()] == [0]
+
+
+def test_columns_by_name(spark, tmp_path):
+    order = [11, 3, 0, 7, 5, 1, 2, 4, 6, 8, 9, 10]
+    turned = [tuple(r[k] for k in order) for r in [RAW_COLUMNS, *BATCH_1]]
+    one = write_csv(tmp_path / "one.csv", BATCH_1)
+    with open(tmp_path / "two.csv", "w", newline="") as f:
+        csv.writer(f).writerows([(*r, "more") for r in turned])
+    stores = [Store(spark, str(tmp_path / name)) for name in ("a", "b")]
+    for store, path in zip(stores, (one, str(tmp_path / "two.csv"))):
+        load_job.land(store, path, by_name=True)
+    assert tuples(load_job.source_table(stores[0])) == tuples(load_job.source_table(stores[1]))
+    load_job.land(stores[0], str(tmp_path / "*.csv"), by_name=True)
+    assert load_job.source_table(stores[0]).count() == 8 and load_job.file_accounts(stores[0]).count() == 2
+    (tmp_path / "bad.csv").write_text(",".join(RAW_COLUMNS[1:]) + "\n")
+    with pytest.raises(ValueError, match="header"):
+        load_job.land(stores[0], str(tmp_path / "bad.csv"), by_name=True)
