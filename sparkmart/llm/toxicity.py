@@ -11,7 +11,8 @@ for scoring the model shrinks to one number for each row, and a word to their su
 
 * A null or empty text has the score of the bias alone.
 * Equal rows get equal scores; a null id stays null and is never held out or learnt
-  from; an empty table gives no row; without labelled rows every score is 0.
+  from; an empty table gives no row; without labelled rows every score is that of a bias of -30, about 1e-13.
+* Of different texts with one id the one with the smallest hash is learnt from.
 * Labels that are null are left out; a document labelled twice counts as toxic if any
   of its labels is. Other columns are not read, whatever their names.
 """
@@ -19,8 +20,10 @@ for scoring the model shrinks to one number for each row, and a word to their su
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import batched, chain
 
 import numpy as np
 import pandas as pd
@@ -113,19 +116,26 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
         for batch in batches:
             out = []
             for toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
-                rows: list[int] = []
-                for word in (text or "").split():
-                    if word not in memo:
-                        memo[word] = subwords(word, settings)
-                    rows += memo[word]
-                if len(memo) > MEMO_WORDS // 10:
-                    memo.clear()
-                found, counts = np.unique(np.array(rows, np.uint32), return_counts=True)
+                counts = np.zeros(settings.buckets, np.float64)
+                # Words by their number, some at a time: a long text never lies there as subwords.
+                for some in batched(Counter((text or "").split()).items(), 10_000):
+                    for word, _ in some:
+                        if word not in memo:
+                            memo[word] = subwords(word, settings)
+                    rows = [memo[word] for word, _ in some]
+                    often = np.repeat([n for _, n in some], [len(r) for r in rows])
+                    counts += np.bincount(list(chain.from_iterable(rows)), often, settings.buckets)
+                    if len(memo) > MEMO_WORDS // 10:
+                        memo.clear()
+                found = np.flatnonzero(counts).astype(np.uint32)
+                counts = counts[found]
                 out.append((toxic, found.tobytes(), counts.astype(np.float32).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     # The sample has at most ``toxic_rows + clean_rows`` rows; a text of a repeated id counts once.
-    sampled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    least = F.min(F.struct(F.xxhash64("text"), "text")).alias("least")
+    sampled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(least)
+    sampled = sampled.select("doc_id", "toxic", "least.text")
     found = sampled.orderBy(F.xxhash64("doc_id", "text")).select("toxic", "text").mapInArrow(
         bags, "toxic boolean, rows binary, counts binary"
     ).collect()

@@ -98,3 +98,56 @@ def test_held_out_is_the_contract(spark, sf_dir):
     rows = queries.op3_toxicity(spark, sf_dir).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     assert all(r.predicted == int(r.score >= 0.3) for r in rows)
+
+
+def plain_fit(bags, settings):
+    """The same learning with dense matrices, text by text and row by row."""
+    rng = np.random.default_rng(settings.seed)
+    order = rng.permutation(len(bags))
+    dense = np.zeros((len(bags), settings.buckets))
+    for k, (_, rows, counts) in enumerate(bags):
+        dense[k, rows] = counts / counts.sum()
+    truth = np.array([[not b[0], b[0]] for b in bags], float)
+    parts = [order[i : i + settings.batch] for i in range(0, len(bags), settings.batch)]
+    table, layer = rng.normal(0, 0.1, (settings.buckets, settings.dim)), rng.normal(0, 0.1, (settings.dim, 2))
+    table, layer, bias = table.astype(np.float32).astype(float), layer.astype(np.float32).astype(float), np.zeros(2)
+    seen, seen_layer, seen_bias = np.full(settings.buckets, 1e-8), np.full(layer.shape, 1e-8), np.full(2, 1e-8)
+    for _ in range(max(settings.epochs, settings.steps // len(parts))):
+        for i in rng.permutation(len(parts)):
+            x, y = dense[parts[i]], truth[parts[i]]
+            logits = x @ table @ layer + bias
+            odds = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+            error = (odds - y) / len(x)
+            of_table, of_layer, of_bias = x.T @ (error @ layer.T), (x @ table).T @ error, error.sum(axis=0)
+            used = (x > 0).any(axis=0)
+            seen[used] += (of_table[used] ** 2).mean(axis=1)
+            table[used] -= settings.rate * of_table[used] / np.sqrt(seen[used])[:, None]
+            seen_layer += of_layer**2
+            layer -= settings.rate * of_layer / np.sqrt(seen_layer)
+            seen_bias += of_bias**2
+            bias -= settings.rate * of_bias / np.sqrt(seen_bias)
+    return table @ (layer[:, 1] - layer[:, 0]), bias[1] - bias[0]
+
+
+def test_fit_equals_plain_loops():
+    rng = np.random.default_rng(5)
+    settings = toxicity.Settings(buckets=60, dim=3, batch=7, epochs=4, steps=30)
+    bags = []
+    for k in range(40):
+        rows = np.unique(rng.integers(0, 30 if k % 3 else 60, 12)).astype(np.uint32)
+        bags.append((k % 3 == 0, rows, rng.integers(1, 5, len(rows)).astype(np.float32)))
+    weights, bias = plain_fit(bags, settings)
+    model = toxicity.fit(list(bags), settings)
+    assert np.allclose(model.weights, weights, rtol=0.02, atol=0.02) and abs(model.bias - bias) < 0.02
+
+
+def test_sample_of_repeated_ids_and_long_texts(spark):
+    long = " ".join(f"word{i % 20_011}" for i in range(60_000))
+    rows = [(1, "bad words here"), (1, "other words"), (2, "fine text"), (3, long), (4, long + " bad")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 1)], "doc_id long, toxic int")
+    small = toxicity.Settings(buckets=1 << 10, steps=5)
+    models = [
+        toxicity.train(spark.createDataFrame(some, "doc_id long, text string").repartition(3), labels, small)
+        for some in (rows, rows[::-1])
+    ]
+    assert (models[0].weights == models[1].weights).all() and models[0].bias == models[1].bias
