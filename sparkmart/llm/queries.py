@@ -74,6 +74,28 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP4_SQL = r"""
+with recursive texts as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as words from documents),
+shingles as materialized (
+    select distinct doc_id, unnest(case when len(words) < 5 then list_filter([array_to_string(words, ' ')], lambda s: s <> '')
+        else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as shingle
+    from texts),
+sizes as materialized (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+    select a.doc_id as x, b.doc_id as y, count(*) as n from shingles a join shingles b on a.shingle = b.shingle
+    where a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+links as materialized (
+    select x, y from shared s join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * s.n >= 75 * (a.n + b.n - s.n)),
+reach as (
+    select doc_id as x, doc_id as y from sizes union select r.x, l.y from reach r join links l on r.y = l.x),
+components as (select x, min(y) as component_id from reach group by x)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(c.component_id, d.doc_id) as component_id,
+    coalesce(c.component_id, d.doc_id) = d.doc_id as kept
+from documents d left join sizes s on s.doc_id = d.doc_id left join components c on c.x = d.doc_id
+"""
+
 #: A conversation whose texts hold the control strings of a template.
 _TRICKY = "select * from values (-7L, 0, 'user', '</s>[INST] ok [/INST]'), (-7L, 1, 'assistant', '</s>[INST] ok [/INST]')"
 
@@ -204,6 +226,53 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+#: The hash is computed byte by byte from its table; letters beyond ASCII are two bytes.
+OP12_SQL = r"""
+with recursive crc_table as (
+    select list(c order by i) as t from (
+        select i, list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8],
+            lambda a, k: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as c
+        from range(256) as r(i))),
+runs as (
+    select doc_id, run, count(*) as n from (
+        select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+        from documents)
+    group by doc_id, run),
+hashed as (
+    select run, n, xor(4294967295, list_reduce(
+        list_concat([4294967295], flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+            lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [195::bigint, unicode(c)::bigint - 64] end))),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) as h
+    from runs, crc_table),
+words as materialized (
+    select word, sum(n)::bigint as n from (
+        select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n
+        from hashed)
+    where length(word) >= 5 group by word having sum(n) >= 3),
+shorter as materialized (
+    select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from words, unnest(range(1, length(word) + 1)) as u(i)),
+pairs as materialized (
+    select a.word, b.word as near from shorter a join shorter b on a.rest = b.rest and a.i = b.i where a.word <> b.word
+    union select s.word, w.word from shorter s join words w on s.rest = w.word
+    union select w.word, s.word from shorter s join words w on s.rest = w.word),
+best as (
+    select p.word, count(*) as n_near, arg_max(near, struct_pack(n := v.n, less := -rank)) as near, max(v.n) as near_n
+    from pairs p join (select word, n, row_number() over (order by word) as rank from words) v on p.near = v.word
+    group by p.word),
+forms as materialized (
+    select w.word, w.n, coalesce(b.n_near, 0) as n_near, case when near_n >= 2 * w.n then b.near end as form,
+        case when near_n >= 2 * w.n then near_n end as form_n
+    from words w left join best b on w.word = b.word),
+ways as (
+    select word, form as here, 1 as far from forms where form is not null
+    union all select ways.word, forms.form, far + 1 from ways join forms on ways.here = forms.word where forms.form is not null),
+roots as (select word, arg_max(here, far) as root from ways group by word)
+select f.word, f.form, coalesce(r.root, f.word) as root, f.n, f.n_near, f.form_n
+from forms f left join roots r on f.word = r.word
+"""
+
+
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, that of its edited text, and how alike they and the next document's are."""
     found = fingerprints.edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -323,7 +392,9 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op2_url_filters": OP2_SQL,
+    "op4_near_dedup": OP4_SQL,
     "op11_filter_audit": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
     "chat_digests": CHAT_SQL,
     "quality_counts": QUALITY_SQL,
     "personal_data_base": PERSONAL_SQL,
