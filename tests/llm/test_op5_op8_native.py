@@ -94,7 +94,7 @@ def test_checks_and_context(spark):
 
 
 def test_native_plans(spark, sf_dir):
-    for name in ("op2_url_filters", "op5_chat_formatting", "op8_personal_data", "op10_decontamination"):
+    for name in ("op2_url_filters", "op5_chat_formatting", "op8_personal_data", "op10_decontamination", "op13_document_fingerprints"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan), name
 
