@@ -6,7 +6,8 @@ orders takes its values from another place on, so that classes with a long commo
 become neighbours. Classes that share ``ROOT`` values of an order are a region. In regions
 of up to ``REGION`` classes all pairs are candidates; larger ones are divided at the next
 value, and so on, down to parts of ``PART`` classes, while each class also meets its next
-neighbour and the hub of its region, the class at its most frequent values. At similarity 0.75 two classes miss each
+neighbour and the hub of its region, the class at its most frequent values, which makes the region one
+component. At similarity 0.75 two classes miss each
 other in all orders with probability below 3e-6 (undivided regions; what a divided one misses
 is looked up, as follows).
 
@@ -38,7 +39,7 @@ from sparkmart.llm.common import fresh, numbered, record_batches, written
 from sparkmart.llm.components import Union, components
 
 SHINGLE, PERCENT = 5, 75
-TREES, ROOT, DEPTH, REGION, PART, NEIGHBOURS = 24, 3, 6, 32, 4, 1
+TREES, ROOT, DEPTH, REGION, PART, NEIGHBOURS = 24, 3, 6, 12, 2, 1
 #: Shingles of a component that a task confirms by itself, 8 bytes each.
 TASK_SHINGLES = 6_000_000
 _CHUNK = 1 << 18
@@ -135,8 +136,8 @@ def candidates(tree: np.ndarray, label: np.ndarray, rep: np.ndarray, n: np.ndarr
     size = np.bincount(region)[region]
     left, right = [], []
 
-    def pair(a: np.ndarray, b: np.ndarray) -> None:
-        fits = (100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])) & (rep[a] != rep[b])
+    def pair(a: np.ndarray, b: np.ndarray, any_size: bool = False) -> None:
+        fits = (any_size | (100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b]))) & (rep[a] != rep[b])
         left.append(np.minimum(rep[a], rep[b])[fits])
         right.append(np.maximum(rep[a], rep[b])[fits])
 
@@ -162,7 +163,8 @@ def candidates(tree: np.ndarray, label: np.ndarray, rep: np.ndarray, n: np.ndarr
         rows = np.flatnonzero(large)
         best = rows[np.lexsort((rows, -count[rows], region[rows]))]
         hubs = best[np.unique(region[best], return_index=True)[1]]
-        pair(hubs[np.searchsorted(region[hubs], region[rows])], rows)
+        # Whatever its size, it makes the region one component, within which every link is found.
+        pair(hubs[np.searchsorted(region[hubs], region[rows])], rows, True)
     return np.concatenate(left or [np.zeros(0, np.int64)]), np.concatenate(right or [np.zeros(0, np.int64)])
 
 
