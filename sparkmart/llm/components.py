@@ -8,7 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import written
+from sparkmart.llm.common import group_count, written
+
+#: Edges that a task contracts by itself.
+TASK_EDGES = 250_000
 
 
 class Union:
@@ -47,10 +50,11 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component: smallest node of it) for every node of ``edges`` (u, v: long).
 
-    Each task first contracts its own edges; then rounds of two joins by node go on until
+    Tasks first contract ``TASK_EDGES`` edges each, however many partitions those came in; then rounds of two joins by node go on until
     every component is a star. Each round is written to the shared folder.
     """
-    edges = edges.where("u <> v").select("u", "v").mapInArrow(_stars, "u long, v long")
+    edges = written(edges.where("u <> v").select("u", "v"))
+    edges = edges.coalesce(group_count(edges.count(), TASK_EDGES)).mapInArrow(_stars, "u long, v long")
     edges, before = written(edges.distinct()), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -298,3 +298,36 @@ def test_pipeline_stages(spark, sf_dir):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     assert [n for n, _ in corpus_pipeline.STAGES][2] == "near_dedup"
+
+
+def test_pairs_of_a_large_group_of_near_copies():
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 1 << 32, near_dedup.TREES * near_dedup.ROOT, dtype=np.uint32)
+    own = rng.integers(0, 1 << 32, (600, len(common)), dtype=np.uint32)
+    values = np.where(rng.random(own.shape) < 0.9, common, own)
+    pairs, joined = set(), Union()
+    for tree in range(near_dedup.TREES):
+        label = np.roll(values, -near_dedup.ROOT * tree, axis=1)[:, : near_dedup.DEPTH]
+        order = np.lexsort(label.T[::-1])
+        u, v = near_dedup.candidates(np.full(600, tree), label[order], order, np.full(600, 100))
+        pairs.update(zip(u.tolist(), v.tolist()))
+    for u, v in pairs:
+        joined.join(u, v)
+    assert {joined.find(k) for k in range(600)} == {0}
+    # Few of them each, however large the group is.
+    assert len(pairs) < 9 * 600
+
+
+def test_edges_of_many_partitions_are_contracted_together(spark, monkeypatch):
+    sizes = []
+
+    def counted(df):
+        sizes.append((out := written(df)).count())
+        return out
+
+    monkeypatch.setattr("sparkmart.llm.components.written", counted)
+    # No partition alone holds a tree of all nodes.
+    edges = spark.range(3000).selectExpr("(id * 7919) % 499 u", "(id * 104729) % 503 v").where("u <> v").repartition(40)
+    assert components(edges).select("component").distinct().count() == 1
+    # The edges as they came, one star of all nodes, and two rounds that change nothing.
+    assert len(sizes) == 4 and sizes[1:] == [502] * 3
