@@ -109,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
         known.where("toxic").orderBy(order, "doc_id").limit(settings.toxic_rows)
         .unionByName(known.where("not toxic").orderBy(order, "doc_id").limit(settings.clean_rows))
     )
-    schema = pa.schema([("toxic", pa.bool_()), ("rows", pa.binary()), ("counts", pa.binary())])
+    schema = pa.schema([("toxic", pa.bool_()), ("bag", pa.binary())])
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, list[int]] = {}
@@ -128,8 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
                     if len(memo) > MEMO_WORDS // 10:
                         memo.clear()
                 found = np.flatnonzero(counts).astype(np.uint32)
-                counts = counts[found]
-                out.append((toxic, found.tobytes(), counts.astype(np.float32).tobytes()))
+                out.append((toxic, _packed(found, counts[found].astype(np.float32))))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     # The sample has at most ``toxic_rows + clean_rows`` rows; a text of a repeated id counts once.
@@ -137,11 +136,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     sampled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(least)
     sampled = sampled.select("doc_id", "toxic", "least.text")
     found = sampled.orderBy(F.xxhash64("doc_id", "text")).select("toxic", "text").mapInArrow(
-        bags, "toxic boolean, rows binary, counts binary"
+        bags, "toxic boolean, bag binary"
     ).collect()
     toxic, size = sum(r["toxic"] for r in found), len(found)
-    found = [(r["toxic"], np.frombuffer(r["rows"], np.uint32), np.frombuffer(r["counts"], np.float32)) for r in found]
-    model = fit(found, settings)
+    model = _fit([(r["toxic"], r["bag"]) for r in found], settings)
     # The sample holds more toxic texts than the labels do; the bias goes back to their share.
     share = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(share) < 2 or toxic in (0, size):
@@ -149,43 +147,71 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     return replace(model, bias=model.bias + float(np.log(share[True] / share[False] * (size - toxic) / toxic)))
 
 
+def _packed(rows: np.ndarray, counts: np.ndarray) -> bytes:
+    """Rows and counts of a bag, about a fifth of their size."""
+    return zlib.compress(np.diff(rows.astype(np.uint32), prepend=np.uint32(0)).tobytes() + counts.astype(np.float32).tobytes(), 1)
+
+
+def _unpacked(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, counts = np.frombuffer(zlib.decompress(bag), np.uint32).reshape(2, -1)
+    return np.cumsum(steps, dtype=np.uint32), counts.view(np.float32)
+
+
 class _Batch:
-    """Some bags as one sparse matrix, its entries ordered by text and by row."""
+    """Some bags as one sparse matrix, its entries ordered by text and by row (``order``, where it is known)."""
 
-    def __init__(self, bags: list[tuple[bool, np.ndarray, np.ndarray]]):
+    def __init__(self, bags: list[tuple[bool, np.ndarray, np.ndarray]], order: np.ndarray | None = None):
         self.toxic = np.array([b[0] for b in bags], np.float32)
         self._rows = np.concatenate([b[1] for b in bags]).astype(np.int32)
         self._share = np.concatenate([b[2] / b[2].sum() for b in bags])[:, None]
         sizes = np.array([len(b[1]) for b in bags])
         self._starts = np.cumsum(sizes) - sizes
-        self._order = np.argsort(self._rows, kind="stable").astype(np.int32)
-        self._text = np.repeat(np.arange(len(bags), dtype=np.int32), sizes)[self._order]
-        self.rows, self._firsts = np.unique(self._rows[self._order], return_index=True)
+        self.order = np.argsort(self._rows, kind="stable").astype(np.int32) if order is None else order
+        self._text = np.repeat(np.arange(len(bags), dtype=np.int32), sizes)[self.order]
+        ordered = self._rows[self.order]
+        self._firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        self.rows = ordered[self._firsts]
 
     def average(self, table: np.ndarray) -> np.ndarray:
         return np.add.reduceat(table[self._rows] * self._share, self._starts)
 
     def gradient(self, of_average: np.ndarray) -> np.ndarray:
         """For each of ``rows``."""
-        return np.add.reduceat(of_average[self._text] * self._share[self._order], self._firsts)
+        return np.add.reduceat(of_average[self._text] * self._share[self.order], self._firsts)
+
+
+class _Held:
+    """A batch as it is held between its steps: its bags packed, and their order by row."""
+
+    def __init__(self, bags: list[tuple[bool, bytes]]):
+        self._bags, self._order = bags, None
+        self._order = self.opened().order
+
+    def opened(self) -> _Batch:
+        return _Batch([(toxic, *_unpacked(bag)) for toxic, bag in self._bags], self._order)
 
 
 def fit(bags: list[tuple[bool, np.ndarray, np.ndarray]], settings: Settings) -> Model:
-    """Embedding table and softmax layer together, from (toxic, rows, counts); ``bags`` is used up to free its memory."""
-    bags[:] = [b for b in bags if len(b[1])]
+    """Embedding table and softmax layer together, from (toxic, rows, counts)."""
+    return _fit([(toxic, _packed(rows, counts)) for toxic, rows, counts in bags], settings)
+
+
+def _fit(bags: list[tuple[bool, bytes]], settings: Settings) -> Model:
+    """The same from packed bags; they are opened a batch at a time, so the driver never holds them all."""
+    empty = _packed(np.zeros(0, np.uint32), np.zeros(0, np.float32))
+    bags = [b for b in bags if b[1] != empty]
     if not bags:
         return Model(settings, np.zeros(settings.buckets, np.float32), -30.0)
     rng = np.random.default_rng(settings.seed)
     order = rng.permutation(len(bags))
-    batches = [_Batch([bags[k] for k in order[i : i + settings.batch]]) for i in range(0, len(bags), settings.batch)]
-    bags.clear()
+    batches = [_Held([bags[k] for k in order[i : i + settings.batch]]) for i in range(0, len(bags), settings.batch)]
     table = rng.normal(0, 0.1, (settings.buckets, settings.dim)).astype(np.float32)
     layer = rng.normal(0, 0.1, (settings.dim, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen, seen_layer, seen_bias = np.full(settings.buckets, 1e-8, np.float32), np.full(layer.shape, 1e-8), np.full(2, 1e-8)
     for _ in range(max(settings.epochs, settings.steps // len(batches))):
         for i in rng.permutation(len(batches)):
-            batch = batches[i]
+            batch = batches[i].opened()
             average = batch.average(table)
             logits = average @ layer + bias
             share = np.exp(logits - logits.max(axis=1, keepdims=True))

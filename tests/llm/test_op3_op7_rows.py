@@ -1,6 +1,7 @@
 import base64
 import pathlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -151,3 +152,21 @@ def test_sample_of_repeated_ids_and_long_texts(spark):
         for some in (rows, rows[::-1])
     ]
     assert (models[0].weights == models[1].weights).all() and models[0].bias == models[1].bias
+
+
+def test_fit_holds_bags_packed():
+    rng = np.random.default_rng(6)
+    settings = toxicity.Settings(epochs=1, steps=1)
+    bags = []
+    for k in range(1000):
+        rows = np.unique(rng.integers(0, settings.buckets, 1500)).astype(np.uint32)
+        bags.append((k % 3 == 0, rows, np.ones(len(rows), np.float32)))
+    entries = sum(len(rows) for _, rows, _ in bags)
+    tracemalloc.start()
+    try:
+        toxicity.fit(bags, settings)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Besides the table of rows and a batch at work, under 8 bytes an entry; open batches took 24.
+    assert peak < 4 * settings.buckets * settings.dim * 6 + 8 * entries
