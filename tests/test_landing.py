@@ -2,7 +2,7 @@ import pytest
 
 from batches import BATCH_1, BATCH_2, raw, tuples, write_csv
 from sparkmart.operators import conform
-from sparkmart.plans import load_job
+from sparkmart.plans import load_job, queries
 from sparkmart.schema import BRONZE, RAW_COLUMNS
 from sparkmart.sources.files import (
     read_jdbc,
@@ -12,6 +12,7 @@ from sparkmart.sources.files import (
     read_table,
     table_or_empty,
 )
+from sparkmart.sources.staging import stage
 from sparkmart.sources.store import Store
 from sparkmart.streaming.landing import land_new_files
 
@@ -152,3 +153,27 @@ def test_short_and_long_rows_are_rejects_with_their_text(spark, tmp_path):
     assert tuples(load_job.rejected_rows(store), "reject_reason") == [("malformed row",)] * 2
     texts = [t for (t,) in tuples(load_job.malformed_rows(store), "raw_text")]
     assert sorted(t.split(",")[0] for t in texts) == ["BR0001", "BR0002"]
+
+
+def test_feeds_landed_rows_and_staged_tables_are_written_small(spark, tmp_path):
+    rows = spark.createDataFrame(BATCH_1, ", ".join(f"{c} string" for c in RAW_COLUMNS))
+    store = Store(spark, str(tmp_path / "store"))
+    queries._write_csv(rows, store.path("in"), "gzip")
+    load_job.land(store, store.path("in"))
+    assert tuples(load_job.source_table(store)) and load_job.source_table(store).count() == len(BATCH_1)
+    assert [f.name for f in tmp_path.glob("store/in/part-*") if not f.name.endswith(".csv.gz")] == []
+    for files in (list(tmp_path.glob("store/source_sales/source_file=*/*.parquet")), stage(rows).inputFiles()):
+        assert files and all(str(f).endswith(".zstd.parquet") for f in files)
+
+
+@pytest.mark.parametrize("by, shuffled", [("files", False), ("window", True)])
+def test_late_files_are_not_shuffled_on_the_way_to_bronze(spark, tmp_path, monkeypatch, by, shuffled):
+    store = Store(spark, str(tmp_path))
+    later = [("DT09999" if k == RAW_COLUMNS.index("Date_ID") else v for k, v in enumerate(r)) for r in BATCH_1]
+    plans = []
+    kept = Store.write_load
+    monkeypatch.setattr(Store, "write_load", lambda self, df, *a: plans.append(df._jdf.queryExecution().toString()) or kept(self, df, *a))
+    for name, some in (("a.csv", BATCH_1), ("b.csv", [tuple(r) for r in later])):
+        load_job.land(store, write_csv(tmp_path / name, some))
+        load_job.extract_landed(store, by)
+    assert ("REBALANCE" in plans[1], "SortMergeJoin" in plans[1]) == (shuffled, False)
