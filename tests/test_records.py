@@ -11,6 +11,7 @@ from sparkmart.plans.main import main
 from sparkmart.schema import CORRUPT, RAW_COLUMNS
 from sparkmart.sources.files import read_raw_sales
 from sparkmart.sources.records import read_raw_by_splits
+from sparkmart.sources.staging import stage
 from sparkmart.sources.store import Store
 
 
@@ -58,6 +59,22 @@ def test_records_equal_the_multi_line_reader(spark, tmp_path, small_splits, seed
     assert [sum(r[CORRUPT] is not None for r in df.collect()) for df in (mine, theirs)] == [80, 80]
 
 
+def test_records_of_a_split_are_joined_where_they_are_read(spark, tmp_path, small_splits, monkeypatch):
+    written = []
+
+    def kept(df):
+        written.append(out := stage(df))
+        return out
+
+    monkeypatch.setattr("sparkmart.sources.records.stage", kept)
+    rows = [(*BATCH_1[0][:9], "two\nlines\nand more", f"p{k}", "x") for k in range(300)]
+    path = write_odd(tmp_path / "in.csv", rows)
+    assert read_raw_by_splits(spark, path).count() == 300
+    splits = spark.read.text(path).rdd.getNumPartitions()
+    # What is written first are records; besides these, a few rows at the ends of each split.
+    assert splits > 5 and written[0].count() < 301 + 4 * splits < 900
+
+
 def test_line_ends_and_headers(spark, tmp_path):
     rows = [(*BATCH_1[0][:9], "two\nlines", "", "x")]
     one, two = write_odd(tmp_path / "lf.csv", rows), write_odd(tmp_path / "crlf.csv", rows, "\r\n")
