@@ -3,7 +3,7 @@ import pytest
 from batches import BATCH_1, BATCH_2, raw, tuples, write_csv
 from sparkmart.operators import conform
 from sparkmart.plans import load_job, queries
-from sparkmart.schema import BRONZE, RAW_COLUMNS
+from sparkmart.schema import BRONZE, LANDED, RAW_COLUMNS
 from sparkmart.sources.files import (
     read_jdbc,
     read_parquet,
@@ -177,3 +177,16 @@ def test_late_files_are_not_shuffled_on_the_way_to_bronze(spark, tmp_path, monke
         load_job.land(store, write_csv(tmp_path / name, some))
         load_job.extract_landed(store, by)
     assert ("REBALANCE" in plans[1], "SortMergeJoin" in plans[1]) == (shuffled, False)
+
+
+def test_landed_rows_do_not_pass_through_the_driver(spark, tmp_path):
+    """Stored rows look small, a list of files has no known size: only the list may be broadcast."""
+    store = Store(spark, str(tmp_path / "store"))
+    path = write_csv(tmp_path / "a.csv", BATCH_1)
+    load_job.land(store, path)
+    rows = store.read_partitions("source_sales", LANDED)
+    first = spark.createDataFrame([(r[0], "") for r in tuples(rows.select("source_path").distinct())], "source_path string, landed_at string")
+    counts = load_job._landed_counts(rows, first)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1 and "BuildRight" in plan and "SortMergeJoin" not in plan
+    assert tuples(counts.drop("source_path")) == [(4, 4, 0, 0, "DT00001", "DT00002")]
