@@ -88,3 +88,22 @@ def test_extract_repeated_after_a_crash_replaces_its_folder(spark, source, tmp_p
     assert extract.last_load(store.read_state("bronze")) == ""
     assert load_job.extract_increment(store, source) == "DT00400"  # more rows by now
     assert store.read_loads("bronze", BRONZE).count() == 7
+
+
+@pytest.mark.parametrize("rows_a_file, gathered", [(2, False), (100, True)])
+def test_only_a_thin_increment_is_shuffled_on_the_way_to_bronze(spark, source, tmp_path, monkeypatch, rows_a_file, gathered):
+    monkeypatch.setattr(load_job, "ROWS_A_FILE", rows_a_file)
+    store = Store(spark, str(tmp_path))
+    plans = []
+    kept = Store.write_load
+    monkeypatch.setattr(Store, "write_load", lambda self, df, *a: plans.append(df._jdf.queryExecution().toString()) or kept(self, df, *a))
+    load_job.extract_increment(store, source.filter(F.col("Date_ID") <= "DT00002"))
+    load_job.extract_increment(store, source)
+    assert ["REBALANCE" in p for p in plans] == [False, gathered]
+    assert tuples(store.read_loads("bronze", BRONZE)) == tuples(source)
+
+
+def test_open_rows_and_the_tasks_they_lie_in(spark):
+    codes = spark.range(0, 40, 1, 4).select(F.format_string("DT%05d", "id").alias("Date_ID"))
+    assert tuple(extract.open_rows(codes, "DT00014").first()) == ("DT00039", 25, 3)
+    assert tuple(extract.open_rows(codes, "DT00039").first()) == (None, 0, None)
