@@ -12,6 +12,8 @@ from sparkmart.llm.common import group_count, written
 
 #: Edges that a task contracts by itself.
 TASK_EDGES = 250_000
+#: Edges a file of a round has about, so that a few edges are not spread over all shuffle partitions.
+FILE_EDGES = 20_000
 
 
 class Union:
@@ -51,10 +53,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component: smallest node of it) for every node of ``edges`` (u, v: long).
 
     Tasks first contract ``TASK_EDGES`` edges each, however many partitions those came in; then rounds of two joins by node go on until
-    every component is a star. Each round is written to the shared folder.
+    every component is a star. Each round is written to the shared folder, in few files where it is small (``FILE_EDGES``).
     """
     edges = written(edges.where("u <> v").select("u", "v"))
-    edges = edges.coalesce(group_count(edges.count(), TASK_EDGES)).mapInArrow(_stars, "u long, v long")
+    count = edges.count()
+    files = group_count(count, FILE_EDGES)
+    edges = edges.coalesce(group_count(count, TASK_EDGES)).mapInArrow(_stars, "u long, v long")
     edges, before = written(edges.distinct()), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -66,6 +70,7 @@ def components(edges: DataFrame) -> DataFrame:
             small.select("u", F.col("low").alias("v"))
             .unionByName(small.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v")))
             .distinct()
+            .coalesce(files)
         )
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:

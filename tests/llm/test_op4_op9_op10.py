@@ -90,6 +90,27 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("file_edges, files", [(1000, 1), (20, 3)])
+def test_rounds_of_few_edges_write_few_files(spark, monkeypatch, file_edges, files):
+    monkeypatch.setattr("sparkmart.llm.components.FILE_EDGES", file_edges)
+    tables = []
+    monkeypatch.setattr("sparkmart.llm.components.written", lambda df: tables.append(written(df)) or tables[-1])
+    edges = [(i, i + 1) for i in range(0, 90, 3)] + [(i + 1, i + 2) for i in range(0, 60, 3)] + [(5, 5), (200, 190)]
+    random.Random(2).shuffle(edges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long").repartition(4)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = Union()
+    for u, v in edges:
+        if u != v:
+            want.join(u, v)
+    assert got == {n: want.find(n) for n in want.parent}
+    rounds = [len(t.inputFiles()) for t in tables[2:]]
+    assert rounds and rounds == [files] * len(rounds)
+
+
 def test_exact_share(spark):
     a = np.arange(100, dtype=np.uint64)
     assert near_dedup.linked(a[:75], a) and not near_dedup.linked(a[:74], a)
